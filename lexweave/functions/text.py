@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 #: Keywords that mark a statement as writing.
 WRITE_WORDS = ("CREATE", "MERGE", "DELETE", "DETACH", "SET", "DROP", "REMOVE")
@@ -46,7 +47,7 @@ def overlap(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(own, b)) / F.greatest(F.size(own), F.lit(1))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two strings, first against second; null counts as empty."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

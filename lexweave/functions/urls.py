@@ -23,13 +23,13 @@ def fetch_url(url: Column | str) -> Column:
     """The URL a record is fetched from: ``/id/`` dropped, trailing slashes cut, ``/data.xml`` appended unless the URL
     already ends in ``data.xml``. Null and empty give null."""
     c = _col(url)
-    u = F.rtrim(F.lit("/"), F.replace(c, F.lit("/id/"), F.lit("/")))
+    u = F.rtrim(F.replace(c, F.lit("/id/"), F.lit("/")), F.lit("/"))
     return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).when(u.endswith("data.xml"), u).otherwise(F.concat(u, F.lit("/data.xml")))
 
 
 def plain_url(url: Column | str) -> Column:
     """``/id/`` read as ``/`` and trailing slashes cut."""
-    return F.rtrim(F.lit("/"), F.replace(_col(url), F.lit("/id/"), F.lit("/")))
+    return F.rtrim(F.replace(_col(url), F.lit("/id/"), F.lit("/")), F.lit("/"))
 
 
 def file_name(url: Column | str, prefix: str) -> Column:
@@ -40,4 +40,4 @@ def file_name(url: Column | str, prefix: str) -> Column:
 
 def act_of_section_uri(uri: Column | str) -> Column:
     """The act a section-level ``/id/`` uri belongs to; other uris stay as they are."""
-    return F.regexp_replace(_col(uri), r"^(https?://[^/]+)/id/([^/]+/[^/]+/[^/]+).*$", "$1/$2")
+    return F.regexp_replace(_col(uri), r"^(https?://[^/]+)/id/([^/]+/[0-9]+/[0-9]+).*$", "$1/$2")

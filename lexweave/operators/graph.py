@@ -58,6 +58,7 @@ def trail_counts(edges: DataFrame, roots: DataFrame, last: list[str], types: lis
     Counts are carried level by level, (root, node, count) summed per node, so no path is ever spelled out: the rows are bounded by
     reachable (root, node) pairs however many paths join them. The structure must be free of cycles. ``roots`` has ``id``.
     """
+    edges = cut_lineage(edges.where(F.col("type").isin(types + last)).select("src", "dst", "type"))  # every level reads them
     inner = edges.where(F.col("type").isin(types)).select("src", "dst")
     final = edges.where(F.col("type").isin(last)).select("src", F.col("dst").alias("goal"))
     level = roots.select(F.col("id").alias("root"), F.col("id").alias("node"), F.lit(1).cast("long").alias("n"))
@@ -103,10 +104,10 @@ def all_shortest_paths(edges: DataFrame, source: str, target: str, most: int = 1
     if source == target:
         return spark.createDataFrame([([source], 0)], empty.schema)
     links = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst")
-    links = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    links = cut_lineage(links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())  # every level reads them
     if interior is not None:
         allowed = interior.select(F.col("id").cast("string").alias("dst")).unionByName(spark.createDataFrame([(target,)], "dst string")).distinct()
-        links = links.join(allowed, "dst", "left_semi").select("src", "dst")
+        links = cut_lineage(links.join(allowed, "dst", "left_semi").select("src", "dst"))
     frontier = visited = spark.createDataFrame([(source,)], "id string")
     levels = []
     for _ in range(most):

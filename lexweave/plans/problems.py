@@ -107,7 +107,7 @@ def queries() -> dict:
 def _canon(c: str) -> str:
     t = rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
     a = rf"regexp_extract({t}, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/]*)', 1)"
-    return rf"regexp_replace(replace(concat(regexp_replace(lower({a}), '^https://', 'http://'), substr({t}, length({a}) + 1)), '/id/', '/'), '(/data\.xml)?/?$', '')"
+    return rf"regexp_replace(replace(regexp_replace(lower({a}), '^https://', 'http://') || substr({t}, length({a}) + 1), '/id/', '/'), '(/data\.xml)?/?$', '')"
 
 
 _ORPHANS = f"""

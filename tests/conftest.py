@@ -6,10 +6,10 @@ from lexweave.session import build_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     conf = {
-        "spark.sql.shuffle.partitions": 4, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": 2, "spark.sql.codegen.wholeStage": "false", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.driver.memory": "6g",
     }
-    session = build_session("tests", "local[4]", **conf)
+    session = build_session("tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
