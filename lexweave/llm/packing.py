@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ QUEUES = 64
 #: Characters handed to the tokenizer at once; longer texts are cut at white space before a word, where this tokenizer cuts too.
 STRETCH = 100_000
 
+_BREAK = re.compile(r"(?<=\S) (?=[^\W\d_])")
 _ENCODERS: dict[str, object] = {}
 
 
@@ -46,14 +48,14 @@ def default_tokenizer() -> str:
 
 def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
     """The text in stretches of about ``size`` characters, each but the first beginning with a single blank before a letter; the
-    tokenizer's pattern never joins the blank to what stands before it. Where there is no such place, the stretch grows until
-    there is one, up to eight times the size."""
+    tokenizer's pattern never joins the blank to what stands before it. Where there is no such place within eight times the
+    size, the text is cut there (its tokens may then differ from those of the whole text by one or two)."""
     at = 0
     while len(text) - at > size:
-        cut = at + size
-        last = min(len(text) - 2, at + 8 * size)
-        while cut < last and not (text[cut] == " " and text[cut + 1].isalpha() and not text[cut - 1].isspace()):
-            cut += 1
+        place = _BREAK.search(text, at + size, at + 8 * size)
+        if place is None and len(text) <= at + 8 * size:
+            break
+        cut = place.start() if place else at + 8 * size
         yield text[at:cut]
         at = cut
     yield text[at:]
