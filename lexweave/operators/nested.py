@@ -14,20 +14,27 @@ from pyspark.sql import functions as F
 LIST_KINDS = ("array", "object", "packed")
 
 
-def parse_record(text: Column | str) -> Column:
-    """The record as a variant, or null where the text isn't exactly one JSON value that is an object."""
-    c = F.regexp_replace(F.col(text) if isinstance(text, str) else text, r"^\s+|\s+$", "")
+def is_object(v: Column, path: str = "$") -> Column:
+    """True for a variant that holds an object. Read as a struct of one field that need not be there, so nothing is copied."""
+    return F.try_variant_get(v, path, "struct<`_`:variant>").isNotNull()
+
+
+def parse_records(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows ``_key, _v`` with each record as a variant, for the texts that are exactly one JSON object; all others are left out."""
+    t = F.trim(F.col(text), F.lit(" \t\n\r"))
     # inside a list, anything behind the first value is an error instead of being passed over
-    whole = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
-    return F.when(c.startswith("{") & c.endswith("}") & (F.size(whole) == 1), whole[0])
+    whole = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
+    # explode keeps the parsed list as a column: without it every later use would parse again
+    parsed = df.where(t.startswith("{") & t.endswith("}")).select(F.col(key).alias("_key"), F.explode(F.array(whole)).alias("_whole"))
+    return parsed.where(F.size("_whole") == 1).select("_key", F.explode("_whole").alias("_v"))
 
 
-def as_list(v: Column) -> Column:
+def as_list(v: Column, path: str) -> Column:
     """A field as ``array<variant>``: a list as it is, a lone object as a list of one, text holding a JSON list as that list;
     anything else (null, numbers, other text) is null."""
-    is_object = F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
-    packed = F.try_variant_get(F.try_parse_json(F.try_variant_get(v, "$", "string")), "$", "array<variant>")
-    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(is_object, F.array(v)), packed)
+    packed = F.try_variant_get(F.try_parse_json(F.try_variant_get(v, path, "string")), "$", "array<variant>")
+    alone = F.when(is_object(v, path), F.array(F.try_variant_get(v, path, "variant")))
+    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), alone, packed)
 
 
 def _step(field: str) -> str:
@@ -103,15 +110,14 @@ def flatten_nested(df: DataFrame, key: str, text: str, levels: dict[str, list[st
     entry gives no row but keeps its index. Damaged, null and empty records give no rows.
     """
     node = lambda path: F.xxhash64(F.col("_key"), path)
-    base = df.select(F.col(key).alias("_key"), parse_record(text).alias("_v")).where(F.col("_v").isNotNull())
-    base = base.select("_key", "_v", F.lit("").alias("_path"))
+    base = parse_records(df, key, text).select("_key", "_v", F.lit("").alias("_path"))
     at: dict[str, DataFrame] = {"": base}
     tables = {}
     for level, fields in levels.items():
         above, _, name = level.rpartition(".")
-        down = at[above].select("_key", F.col("_path").alias("_up"), F.posexplode(as_list(F.try_variant_get("_v", _step(name), "variant"))).alias("_ordinal", "_v"))
+        down = at[above].select("_key", F.col("_path").alias("_up"), F.posexplode(as_list(F.col("_v"), _step(name))).alias("_ordinal", "_v"))
         path = F.concat(F.col("_up"), F.when(F.col("_up") == "", "").otherwise("/"), F.lit(f"{name}/"), F.col("_ordinal").cast("string"))
-        down = down.where(F.try_variant_get("_v", "$", "map<string,variant>").isNotNull()).select("_key", "_v", "_up", "_ordinal", path.alias("_path"))
+        down = down.where(is_object(F.col("_v"))).select("_key", "_v", "_up", "_ordinal", path.alias("_path"))
         at[level] = down
         tables[level] = down.select(
             F.col("_key").alias(key), node(F.col("_path")).alias("node_id"), node(F.col("_up")).alias("parent_id"), F.col("_ordinal").alias("ordinal"),
