@@ -148,8 +148,20 @@ nxt AS (SELECT *, lead(a) OVER (PARTITION BY record_type, record_id, status ORDE
 _ISO4 = lambda c: f"lpad(CAST(year(DATE '1970-01-01' + CAST({c} AS INTEGER)) AS VARCHAR), 4, '0') || strftime(DATE '1970-01-01' + CAST({c} AS INTEGER), '-%m-%d')"
 
 
+_STOP = r"(?:[+,;/|&\n\r]|[ \t]and[ \t])"
+_ITEM = rf"""[ \t]*(?:"(?:[^"]|"")*"|''[^'']*''|“[^”]*”)[ \t]*(?:{_STOP}|$)|[^+,;/|&\n\r]*?(?:{_STOP}|$)"""
+_TRIM = rf"""regexp_replace(regexp_replace(x, '{_STOP}$', ''), '^\s+|\s+$', '', 'g')"""
+_PACKED = rf"""
+WITH item AS (SELECT row_id, list_transform(regexp_extract_all(restrict_extent, '{_ITEM}'), lambda x: {_TRIM}) AS xs FROM section WHERE restrict_extent IS NOT NULL),
+val AS (SELECT row_id, list_filter(list_transform(xs, lambda v: trim(CASE WHEN regexp_matches(v, '^"(?:[^"]|"")*"$') THEN replace(substr(v, 2, length(v) - 2), '""', '"')
+  WHEN regexp_matches(v, '^(?:''[^'']*''|“[^”]*”)$') THEN substr(v, 2, length(v) - 2) ELSE v END)), lambda v: v <> '') AS vs FROM item)
+SELECT row_id, CAST(i AS INTEGER) AS pos, vs[i] AS extent_value FROM (SELECT row_id, vs, unnest(range(1, len(vs) + 1)) AS i FROM val WHERE len(vs) >= 2) n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_found": _PACKED,
         "p1_found": _ORPHANS + "SELECT ref_table, ref_id, reason, ref_month FROM orphan",
         "p1_orphans_by_month": _ORPHANS + "SELECT 'legislation' AS parent_table, ref_table, ref_month, reason, count(*) AS n_refs FROM orphan GROUP BY ref_table, ref_month, reason",
         "p6_found": _COVER + f"""SELECT record_type, record_id, status, 'period' AS kind, {_ISO4("a")} AS start_date, {_ISO4("b")} AS end_date FROM nxt WHERE n >= 2
