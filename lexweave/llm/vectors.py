@@ -204,7 +204,7 @@ def nearest_vectors(
     if not len(x):
         return spark.createDataFrame([], schema)
     x = x.astype(np.float32)
-    size = min(centroids or max(4, int(0.6 * n**0.5)), 2048, max(1, len(np.unique(x, axis=0)) // 2))
+    size = min(centroids or max(4, int(0.35 * n**0.5)), 2048, max(1, len(np.unique(x, axis=0)) // 2))
     half = dim // 2
     index = MultiIndex((kmeans(x[:, :half], size), kmeans(x[:, half:], size)), lists, cells)
     for_members, for_queries = _blocks(index, x[:8192], n, 1 / query_every)
