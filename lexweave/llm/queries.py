@@ -21,7 +21,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 most similar nodes, however similar they are, of every node whose id is divisible by 20, against all nodes."""
-    near = nearest_vectors(table(spark, sf_dir, "text_node"), "vec_id", "text_embedding", k=10, centroids=16, lists=16, cells=144, query_every=20)
+    near = nearest_vectors(table(spark, sf_dir, "text_node"), "vec_id", "text_embedding", k=10, centroids=16, lists=16, cells=112, query_every=20)
     return near.select(F.col("query").alias("vec_id"), F.col("other").alias("neighbour_id"), F.round("similarity", 4).alias("similarity"))
 
 

@@ -138,19 +138,28 @@ def _search(table: pa.Table, k: int, least: float, both: bool, dim: int) -> pa.T
     stop = np.append(start[1:], len(members))
     lo, hi = np.searchsorted(wanted, cells, "left"), np.searchsorted(wanted, cells, "right")
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    floor = np.full(len(ids), least, np.float32)  # what a neighbour must reach; rises with the k-th best seen, where one side asks
     for a, b, p, q in zip(start, stop, lo, hi, strict=True):
         inside = members[a:b]
-        right = unit[inside].T
+        right, by_id = unit[inside].T, np.argsort(ids[inside], kind="stable")
+        sorted_ids = ids[inside][by_id]
         step = max(1, CHUNK // len(inside))
         for at in range(p, q, step):
             asking = asks[at : min(q, at + step)]
             s = unit[asking] @ right
-            s[ids[asking][:, None] == ids[inside][None, :]] = -2.0
-            hit = s >= least
+            for side in ("left", "right"):  # a vector is no neighbour of its own; an id may stand twice
+                own = np.searchsorted(sorted_ids, ids[asking], side) - (side == "right")
+                own = np.clip(own, 0, len(inside) - 1)
+                same = np.flatnonzero(sorted_ids[own] == ids[asking])
+                s[same, by_id[own[same]]] = -2.0
+            hit = s >= floor[asking][:, None]
             if np.count_nonzero(hit) > 4 * k * sum(s.shape):  # all that can be among the k best of either side, ties included
                 best = np.zeros_like(hit)
                 if s.shape[1] > k:
-                    best |= s >= np.partition(s, -k, axis=1)[:, -k][:, None]
+                    kth = np.partition(s, -k, axis=1)[:, -k]
+                    best |= s >= kth[:, None]
+                    if not both:
+                        floor[asking] = np.maximum(floor[asking], kth)
                 else:
                     best[:] = True
                 if both and not best.all():
