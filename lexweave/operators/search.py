@@ -29,13 +29,13 @@ def vector_hits(vectors: DataFrame, node: str, vec: str, query: list[float], k:
     return scored.where(F.col("score").isNotNull() & ~F.isnan("score")).orderBy(F.desc("score"), "node_id").limit(k)
 
 
-def title_candidates(acts: DataFrame, query: str, limit: int = 250) -> DataFrame:
-    """Acts whose title or uri contains the normalised query, or any of its words of three letters or more. A query without a letter
-    or digit finds nothing."""
+def title_candidates(acts: DataFrame, query: str) -> DataFrame:
+    """All acts whose title or uri contains the normalised query, or any of its words of three letters or more. A query without a letter
+    or digit finds nothing. Nothing is cut here: a common word makes every act a candidate, and only ``rank_titles`` knows the best."""
     q = T.normalise(F.lit(query))
     lt, lu = F.lower(F.coalesce(F.col("title"), F.lit(""))), F.lower(F.coalesce(F.col("uri"), F.lit("")))
     some = F.exists(T.tokens(q), lambda t: (t != "") & (lt.contains(t) | lu.contains(t)))
-    return acts.where((q != "") & (lt.contains(q) | lu.contains(q) | some)).orderBy("uri").limit(limit)
+    return acts.where((q != "") & (lt.contains(q) | lu.contains(q) | some))
 
 
 def newest(day: str = "enactment_date") -> Column:
@@ -50,8 +50,8 @@ def rank_titles(candidates: DataFrame, query: str, limit: int = 25, with_ratio:
 
 
 def resolve_title(acts: DataFrame, query: str, limit: int = 10) -> DataFrame:
-    """The acts whose titles fit a query best, out of 250 candidates."""
-    ranked = rank_titles(title_candidates(acts, query, 250), query, bounded(limit, 1, 50))
+    """The acts whose titles fit a query best, out of all candidates."""
+    ranked = rank_titles(title_candidates(acts, query), query, bounded(limit, 1, 50))
     return ranked.withColumn("match_method", F.lit("title_resolver"))
 
 
@@ -89,8 +89,8 @@ def fuse(titles: DataFrame, vectors: DataFrame, query: str, limit: int = 25) ->
 
 
 def find_acts(acts: DataFrame, hits: DataFrame, context: DataFrame, query: str, limit: int = 25) -> DataFrame:
-    """Hybrid lookup: the best 150 of 300 title candidates with the best 150 acts of the vector hits."""
-    titles = rank_titles(title_candidates(acts, query, 300), query, 150)
+    """Hybrid lookup: the best 150 of all title candidates with the best 150 acts of the vector hits."""
+    titles = rank_titles(title_candidates(acts, query), query, 150)
     return fuse(titles, vector_acts(hits, context, acts, 150), query, bounded(limit, 1, 100))
 
 

@@ -150,6 +150,17 @@ def test_title_search(spark, acts):
         search.resolve_title(acts, "x", 51)
 
 
+def test_every_title_candidate_is_scored(spark):
+    """The best act has the greatest uri, behind more candidates than were once kept."""
+    many = spark.range(400).selectExpr("concat('u/', lpad(id, 3, '0')) AS uri", "'Mines Act 1950' AS title", "DATE '1950-01-01' AS enactment_date")
+    many = many.unionByName(spark.createDataFrame([("u/z", "Pensions Act 1962", d("1962-01-01"))], ACTS))
+    none = spark.createDataFrame([], "node_id string, score double"), spark.createDataFrame([], "node_id string, legis_uri string")
+    assert search.title_candidates(many, "Pensions Act 1962").count() == 401
+    assert [r["uri"] for r in search.resolve_title(many, "Pensions Act 1962", 2).collect()] == ["u/z", "u/000"]
+    assert search.rank_titles(search.title_candidates(many, "Pensions Act 1962"), "Pensions Act 1962", 1, with_ratio=False).first()["uri"] == "u/z"
+    assert search.find_acts(many, *none, "Pensions Act 1962", 1).first()["uri"] == "u/z"
+
+
 def test_hybrid_fusion(spark, acts):
     hits = spark.createDataFrame([("n1", 0.9), ("n2", 0.6), ("n3", 0.8), ("nowhere", 1.0)], "node_id string, score double")
     ctx = spark.createDataFrame([("n1", "u/4", "p", "c", "s", "g"), ("n2", "u/1", "p", "c", "s", "g"), ("n3", "u/1", "p2", None, "s2", "g2")], "node_id string, legis_uri string, part_id string, chapter_id string, section_id string, paragraph_id string")
