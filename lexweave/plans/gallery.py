@@ -19,7 +19,11 @@ from . import model
 
 FROM_DAY, TO_DAY, TODAY = "1990-01-01", "2015-12-31", "2025-01-01"
 TITLE = "Pensions (Consolidation) Act 1962"
-SOME_ACTS = "/xpga/19"
+
+
+def _under(c: str, part: str | None):
+    """Uris that contain a text; all where none is given."""
+    return F.lit(True) if part is None else F.col(c).contains(part)
 
 
 def linked_to_star(s: SparkSession, d: str) -> DataFrame:
@@ -53,8 +57,8 @@ def citation_degrees(s, d):
     return out.withColumns({c: F.array_join(c, "; ") for c in ("top_outgoing_titles", "top_incoming_titles")})
 
 
-def hierarchy_paths(s, d):
-    h = model.hierarchy(s, d).where(F.col("legis_uri").contains(SOME_ACTS))
+def hierarchy_paths(s, d, uri=None):
+    h = model.hierarchy(s, d).where(_under("legis_uri", uri))
     return h.select("legis_uri", "part_id", "chapter_id", "section_id", "paragraph_id")
 
 
@@ -63,16 +67,17 @@ def one_part(s, d):
     return model.hierarchy(s, d).where(F.col("part_number") == "Part 1").select("legis_uri", "part_id", "section_id", "sec_number", "paragraph_id", "par_number")
 
 
-def citing_upward(s, d):
-    """Citations of some acts, with the acts that make them."""
+def citing_upward(s, d, uri=None):
+    """Citations of all acts, or those whose uri contains a text, with the acts that make them."""
     a = model.acts(s, d).select("uri", "title")
-    c = model.citations(s, d).where(F.col("uri").contains("/xpga/1960/")).select(F.col("id").alias("citation_id"), F.col("legis_uri").alias("citing_uri"), F.col("uri").alias("cited_uri"))
+    c = model.citations(s, d).where(_under("uri", uri)).select(F.col("id").alias("citation_id"), F.col("legis_uri").alias("citing_uri"), F.col("uri").alias("cited_uri"))
     return c.join(a.select(F.col("uri").alias("citing_uri"), F.col("title").alias("citing_title")), "citing_uri").join(a.select(F.col("uri").alias("cited_uri")), "cited_uri", "left_semi")
 
 
-def notes_with_citations(s, d):
-    """Some acts with their notes and, independently, the citations in them: every pair of both, or nulls where there is none."""
-    a = model.acts(s, d).where(F.col("uri").contains(SOME_ACTS)).select("uri")
+def notes_with_citations(s, d, uri=None):
+    """All acts, or those whose uri contains a text, with their notes and, independently, the citations in them: every pair of both, or
+    nulls where there is none."""
+    a = model.acts(s, d).where(_under("uri", uri)).select("uri")
     notes = table(s, d, "notes_paragraph").select(canonical_uri("legis_uri").alias("uri"), F.col("id").alias("note_id")).distinct()
     cites = model.citations(s, d).where(F.col("origin") == "notes").select(F.col("legis_uri").alias("uri"), F.col("id").alias("citation_id"))
     return a.join(notes, "uri", "left").join(cites, "uri", "left")
@@ -157,20 +162,20 @@ def topic_network(s, d):
     return graph.closed_network(model.links(s, d), a.unionByName(h))
 
 
-def act_full_text(s, d):
-    """The readable text of some acts: paragraphs in order, joined by blank lines."""
-    h = model.hierarchy(s, d).where(F.col("legis_uri").contains("/xpga/1950/") & F.col("text").isNotNull())
+def act_full_text(s, d, uri=None):
+    """The readable text of all acts, or those whose uri contains a text: paragraphs in order, joined by blank lines."""
+    h = model.hierarchy(s, d).where(_under("legis_uri", uri) & F.col("text").isNotNull())
     parts = h.groupBy("legis_uri").agg(F.sort_array(F.collect_list(F.struct("paragraph_id", "text"))).alias("parts"))
     return parts.select("legis_uri", F.array_join(F.transform("parts", lambda p: p["text"]), "\n\n").alias("content"))
 
 
-def descendants(s, d):
-    """All structural descendants of some acts by bounded expansion, with their depth."""
+def descendants(s, d, uri=None):
+    """All structural descendants of all acts, or those whose uri contains a text, by bounded expansion, with their depth."""
     sec, par = model.sections(s, d), model.paragraphs(s, d)
     edges = sec.select(F.col("legis_uri").alias("src"), F.col("chapter_id").alias("dst"), F.lit("HAS_CHAPTER").alias("type")).distinct()
     edges = edges.unionByName(sec.select(F.col("chapter_id").alias("src"), F.col("id").alias("dst"), F.lit("HAS_SECTION").alias("type")))
     edges = edges.unionByName(par.select(F.col("section_id").alias("src"), F.col("id").alias("dst"), F.lit("HAS_PARAGRAPH").alias("type"))).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    starts = model.acts(s, d).where(F.col("uri").contains(SOME_ACTS)).select(F.col("uri").alias("id"))
+    starts = model.acts(s, d).where(_under("uri", uri)).select(F.col("uri").alias("id"))
     return graph.expand(edges, starts, ["HAS_CHAPTER", "HAS_SECTION", "HAS_PARAGRAPH"], 1, 6).select("root", "id", "depth")
 
 
@@ -244,10 +249,10 @@ def subref_parents(s, d):
     return shred.subref_parents(subs, c.where(F.col("origin") == "commentary").select("id"), model.acts(s, d).select(F.col("uri").alias("id")))
 
 
-def crawled_acts(s, d):
-    """Acts reached from the acts of 1960 over pages made from the tables, wave by wave."""
-    seeds = model.acts(s, d).where(F.col("uri").contains("/1960/")).select(F.col("uri").alias("url"), F.lit(0).alias("depth"))
-    out = crawl(seeds, model.pages(s, d), max_depth=1)
+def crawled_acts(s, d, uri=None):
+    """Acts reached from all acts, or those whose uri contains a text, over pages made from the tables, wave by wave."""
+    seeds = model.acts(s, d).where(_under("uri", uri)).select(F.col("uri").alias("url"), F.lit(0).alias("depth"))
+    out = crawl(seeds, model.pages(s, d))
     return out.select("url", "depth", "wave", F.col("document.identifier.title").alias("title"), F.size("links").alias("n_links"), F.col("error").isNotNull().alias("failed"))
 
 
