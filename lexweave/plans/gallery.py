@@ -163,10 +163,20 @@ def topic_network(s, d):
 
 
 def act_full_text(s, d, uri=None):
-    """The readable text of all acts, or those whose uri contains a text: paragraphs in order, joined by blank lines."""
-    h = model.hierarchy(s, d).where(_under("legis_uri", uri) & F.col("text").isNotNull())
-    parts = h.groupBy("legis_uri").agg(F.sort_array(F.collect_list(F.struct("paragraph_id", "text"))).alias("parts"))
-    return parts.select("legis_uri", F.array_join(F.transform("parts", lambda p: p["text"]), "\n\n").alias("content"))
+    """The readable text of all acts, or those whose uri contains a text: the first of text, title and description that each node has, in
+    order of the document (the act, each section followed by its paragraphs, the notes), joined by blank lines."""
+    a = model.acts(s, d).where(_under("uri", uri)).select(F.col("uri").alias("legis_uri"), F.coalesce("title", "description").alias("content"))
+    sec = model.sections(s, d).select("legis_uri", F.col("id").alias("section_id"), F.col("order_no").alias("section_no"), F.coalesce("text", "title").alias("content"))
+    par = model.paragraphs(s, d).select("section_id", F.col("id").alias("node_id"), F.col("order_no").alias("number"), F.col("text").alias("content"))
+    notes = graph.upsert_nodes(table(s, d, "notes_paragraph"), "id", ["row_id"]).select(canonical_uri("legis_uri").alias("legis_uri"), F.col("id").alias("node_id"), F.col("text").alias("content"))
+    par = par.join(sec.select("section_id", "section_no", "legis_uri"), "section_id")
+    nodes = a.withColumn("place", F.lit(0)).unionByName(sec.withColumn("place", F.lit(1)), allowMissingColumns=True)
+    nodes = nodes.unionByName(par.withColumn("place", F.lit(1)), allowMissingColumns=True).unionByName(notes.withColumn("place", F.lit(2)), allowMissingColumns=True)
+    known = nodes.where(F.col("content").isNotNull()).join(a.select("legis_uri"), "legis_uri", "left_semi")
+    # a section has no node_id and number; nulls come first, so it stands before its paragraphs
+    order = ("place", "section_no", "section_id", "number", "node_id", "content")
+    parts = known.groupBy("legis_uri").agg(F.sort_array(F.collect_list(F.struct(*order))).alias("parts"))
+    return parts.select("legis_uri", F.array_join(F.transform("parts", lambda p: p["content"]), "\n\n").alias("content"))
 
 
 def descendants(s, d, uri=None):
