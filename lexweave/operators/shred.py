@@ -18,10 +18,13 @@ from .graph import upsert_edges, upsert_nodes
 
 @dataclass
 class ActGraph:
-    """``nodes``: label to table with ``id`` and properties; ``edges``: ``src, dst, type``."""
+    """``nodes``: label to table with ``id`` and properties; ``edges``: ``src, dst, type``. These are the ``certain`` edges, which the
+    records hold by themselves, and those of ``open_edges`` (``src, dst, type, named``) whose ends are among the nodes; see ``resolve``."""
 
     nodes: dict[str, DataFrame]
     edges: DataFrame
+    certain: DataFrame
+    open_edges: DataFrame
 
     def all_nodes(self) -> DataFrame:
         """One frame ``id, label, title, number, uri, text`` over all labels; absent properties are null."""
@@ -116,22 +119,33 @@ def shred(documents: DataFrame, section_text: bool = False, section_commentaries
     note_cited = _down(enp, "x.citations", {"legis_uri": "legis_uri", "parent": "id"}).where(F.col("x.uri").isNotNull()).withColumn("id", local("x.id"))
     citation = cited.unionByName(note_cited).where(F.col("id").isNotNull())
     nodes["Citation"] = citation.select("id", "x.uri", "x.title", "x.year", "x.class", "x.text")
-    known_comment = nodes["Commentary"].select("id").distinct()
-    from_comment = cited.where(F.col("id").isNotNull()).join(known_comment.withColumnRenamed("id", "parent"), "parent", "left_semi")
-    edges += [_edge(from_comment, "parent", "HAS_CITATION", "id"), _edge(note_cited.where(F.col("id").isNotNull()), "parent", "HAS_CITATION", "id")]
-    there = nodes["Legislation"].select("id")
+    edges.append(_edge(note_cited.where(F.col("id").isNotNull()), "parent", "HAS_CITATION", "id"))
+    from_comment = _edge(cited.where(F.col("id").isNotNull()), "parent", "HAS_CITATION", "id")
     cites = citation.select(F.col("id").alias("src"), F.replace("x.uri", F.lit("/id/"), F.lit("/")).alias("dst"), F.lit("CITES").alias("type"))
-    edges.append(cites.join(there.withColumnRenamed("id", "dst"), "dst", "left_semi"))
 
     sub = _down(every, "x.citation_subrefs", {"legis_uri": "legis_uri", "comment": "id"}).where(F.col("x.uri").isNotNull() & F.col("x.id").isNotNull()).withColumn("id", local("x.id"))
     nodes["CitationSubRef"] = sub.select("id", "x.uri", "x.section_ref", "x.text")
     refers = sub.select(F.col("id").alias("src"), act_of_section_uri("x.uri").alias("dst"), F.lit("REFERENCES").alias("type"))
-    edges.append(refers.join(there.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-    edges.append(subref_parents(sub.select("id", "comment", local("x.citation_ref").alias("citation")), nodes["Citation"].select("id").distinct(), known_comment))
+    has_subref = sub.select(F.col("comment").alias("src"), F.col("id").alias("dst"), F.lit("HAS_SUBREF").alias("type"), local("x.citation_ref").alias("named"))
+    unsure = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (has_subref, from_comment, cites, refers))
+    sure = reduce(DataFrame.unionByName, (e.select("src", "dst", "type") for e in edges))
+    joined = sure.unionByName(resolve(unsure, nodes["Legislation"], nodes["Commentary"], nodes["Citation"]))
 
     keep = {"Legislation"}
     nodes = {label: df if label in keep else upsert_nodes(df, "id", []) for label, df in nodes.items()}
-    return ActGraph(nodes, upsert_edges(reduce(DataFrame.unionByName, (e.select("src", "dst", "type") for e in edges))))
+    return ActGraph(nodes, upsert_edges(joined), upsert_edges(sure), unsure)
+
+
+def resolve(open_edges: DataFrame, acts: DataFrame, commentaries: DataFrame, citations: DataFrame) -> DataFrame:
+    """The edges (``src, dst, type``) of those open that the nodes (``id``) decide: CITES and REFERENCES of acts that are there, HAS_CITATION
+    of commentaries that are there, HAS_SUBREF as in ``subref_parents`` (``named`` is the citation). Given the nodes of all batches, these are
+    the edges of all records at once."""
+    ids = lambda df, name: df.select(F.col("id").alias(name)).distinct()
+    of = lambda *types: open_edges.where(F.col("type").isin(*types))
+    linked = of("CITES", "REFERENCES").join(ids(acts, "dst"), "dst", "left_semi").select("src", "dst", "type")
+    held = of("HAS_CITATION").join(ids(commentaries, "src"), "src", "left_semi").select("src", "dst", "type")
+    subs = of("HAS_SUBREF").select(F.col("dst").alias("id"), F.col("src").alias("comment"), F.col("named").alias("citation"))
+    return linked.unionByName(held).unionByName(subref_parents(subs, ids(citations, "id"), ids(commentaries, "id")))
 
 
 def subref_parents(subrefs: DataFrame, citations: DataFrame, commentaries: DataFrame) -> DataFrame:

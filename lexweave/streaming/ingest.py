@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.graph import upsert_edges, upsert_nodes
-from ..operators.shred import shred
+from ..operators.shred import resolve, shred
 from ..sources.documents import usable_documents
 from ..sources.schema import document_schema
 
@@ -20,11 +20,13 @@ def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 def load_batch(batch: DataFrame, batch_id: int, out: str) -> None:
     """Writes the nodes and edges of one batch below ``out``, in a folder of the batch. A batch that is run again replaces its own
-    folder, so each record counts once however often it is tried."""
+    folder, so each record counts once however often it is tried. Edges that hang on nodes of other batches, such as citations, are
+    written open; ``current_edges`` resolves them."""
     graph = shred(batch)
     for label, df in graph.nodes.items():
         df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/nodes/{label}/batch={batch_id}")
-    graph.edges.write.mode("overwrite").parquet(f"{out}/edges/batch={batch_id}")
+    graph.certain.write.mode("overwrite").parquet(f"{out}/edges/batch={batch_id}")
+    graph.open_edges.distinct().write.mode("overwrite").parquet(f"{out}/open_edges/batch={batch_id}")
 
 
 def start_loading(documents: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -38,7 +40,10 @@ def current_nodes(spark: SparkSession, out: str, label: str) -> DataFrame:
 
 
 def current_edges(spark: SparkSession, out: str) -> DataFrame:
-    return upsert_edges(spark.read.parquet(f"{out}/edges").drop("batch"))
+    """The edges over all batches; an act may be cited before or after the batch that brings it."""
+    certain, unsure = (spark.read.parquet(f"{out}/{kind}").drop("batch") for kind in ("edges", "open_edges"))
+    nodes = (spark.read.parquet(f"{out}/nodes/{label}") for label in ("Legislation", "Commentary", "Citation"))
+    return upsert_edges(certain.unionByName(resolve(unsure, *nodes)))
 
 
 def arrivals(events: DataFrame, at: str, key: str, late: str = "1 hour", width: str = "1 day") -> DataFrame:
