@@ -126,7 +126,16 @@ def flatten_nested(df: DataFrame, key: str, text: str, levels: dict[str, list[st
     return tables
 
 
-def node_table(tables: dict[str, DataFrame], key: str, names: dict[str, str]) -> DataFrame:
-    """All objects of the levels whose last step is in ``names`` (field -> node type): key, ``node_type, parent_path, node_path``."""
+def node_table(tables: dict[str, DataFrame], key: str, names: dict[str, str], records: DataFrame | None = None) -> DataFrame:
+    """All objects of the levels whose last step is in ``names`` (field -> node type): key, ``node_type, parent_path, node_path``. Where
+    there is no such level, the result is empty; ``records`` (the flattened frame) then gives the type of the key."""
     wanted = [(t, names[p.rsplit(".", 1)[-1]]) for p, t in tables.items() if p.rsplit(".", 1)[-1] in names]
+    if not wanted and records is not None:
+        return empty_level(records, key).select(key, F.lit("").alias("node_type"), "parent_path", "node_path")
     return reduce(DataFrame.unionByName, (t.select(key, F.lit(kind).alias("node_type"), "parent_path", "node_path") for t, kind in wanted))
+
+
+def empty_level(df: DataFrame, key: str) -> DataFrame:
+    """A level table without rows and without fields of its own."""
+    long, text = F.lit(0).cast("long"), F.lit("")
+    return df.limit(0).select(key, long.alias("node_id"), long.alias("parent_id"), F.lit(0).alias("ordinal"), text.alias("node_path"), text.alias("parent_path"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import OPEN_END, OPEN_START, is_blank, parse_day
 from ..functions.urls import canonical_uri
 from ..operators.intervals import merge_intervals
-from ..operators.nested import flatten_nested, infer_schema, nested_levels, node_table
+from ..operators.nested import empty_level, flatten_nested, infer_schema, nested_levels, node_table
 from ..operators.packed import unpack_values
 from ..operators.references import orphan_references, orphan_report
 from ..sources.tables import table
@@ -56,14 +56,14 @@ def act_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return node_table(act_tables(spark, sf_dir), "raw_id", NODE_TYPES)
+    return node_table(act_tables(spark, sf_dir), "raw_id", NODE_TYPES, table(spark, sf_dir, "raw_acts"))
 
 
 def p5_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat section table, linked to its chapter table by parent_id."""
     tables = act_tables(spark, sf_dir)
     levels = [t for p, t in tables.items() if p.endswith(".sections")]
-    out = levels[0]
+    out = levels[0] if levels else empty_level(table(spark, sf_dir, "raw_acts"), "raw_id")
     for more in levels[1:]:
         out = out.unionByName(more, allowMissingColumns=True)
     return out

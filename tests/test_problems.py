@@ -12,6 +12,7 @@ from lexweave.operators.intervals import merge_intervals
 from lexweave.operators.nested import flatten_nested, infer_schema, nested_levels, node_table
 from lexweave.operators.packed import split_packed, unpack_values
 from lexweave.operators.references import orphan_references, orphan_report
+from lexweave.plans import problems
 
 DAY = datetime(2020, 1, 1)
 PARENT = "parent_table string, parent_key string, loaded_at timestamp, deleted_at timestamp, ref_id string"
@@ -115,6 +116,14 @@ def test_nested_records(spark):
     assert ("parts", "chapters", "packed") in kinds and ("", "parts", "object") in kinds
 
 
+@pytest.mark.parametrize("texts", [[], [None, "", '{"parts": [{"chapters": [{"a": ']])
+def test_nested_records_without_levels(spark, tmp_path, texts):
+    spark.createDataFrame(list(enumerate(texts)), "raw_id long, doc_json string").write.parquet(str(tmp_path / "raw_acts.parquet"))
+    found, sections = problems.p5_found(spark, str(tmp_path)), problems.p5_sections(spark, str(tmp_path))
+    assert found.dtypes == [("raw_id", "bigint"), ("node_type", "string"), ("parent_path", "string"), ("node_path", "string")] and found.count() == 0
+    assert sections.columns == ["raw_id", "node_id", "parent_id", "ordinal", "node_path", "parent_path"] and sections.count() == 0
+
+
 def stretches(intervals):
     out = []
     for s, e in sorted(set(intervals)):
