@@ -153,13 +153,14 @@ def pack_documents(
     leave (targets less actual tokens, summed over the shards before: known from per-shard totals, without waiting for them).
 
     A null source is a source of its own. Null or repeated ids: packed row by row like others. An empty table gives no rows.
-    Sources beyond the ``QUEUES`` largest share one queue. Other columns are ignored.
+    Every source in ``targets`` has a queue of its own; the largest others fill up to ``QUEUES``, the rest share one. Other columns are ignored.
     """
     path = tokenizer or default_tokenizer()
     src = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(source).isNull().alias("unnamed"), F.col(text).alias("text"))
     counted = cut_lineage(count_tokens(src, "text", path, ["doc_id", "source", "unnamed"]))  # tokenized once, whatever is lost later
     per_source = counted.groupBy("source", "unnamed").agg(F.sum("n_tokens").alias("tokens"))
-    totals = per_source.orderBy(F.desc("tokens"), "source", "unnamed").limit(QUEUES).collect()
+    named = F.col("source").isin(*(targets or {})) & ~F.col("unnamed")
+    totals = per_source.orderBy(named.desc(), F.desc("tokens"), "source", "unnamed").limit(max(QUEUES, len(targets or {}))).collect()
     grand = per_source.agg(F.sum("tokens")).first()[0] or 0
     shards = max(1, -(-grand // shard_tokens))
     tokens = [r["tokens"] for r in totals]

@@ -163,6 +163,14 @@ def test_packing_keeps_target_proportions():
     assert sum(i[3] for i in first if i[2] == 0) > 1.5 * sum(i[3] for i in first if i[2] == 1)
 
 
+def test_small_source_with_a_target_has_its_own_queue(spark, monkeypatch):
+    monkeypatch.setattr("lexweave.llm.packing.QUEUES", 2)
+    docs = [(n, "law act of law act of law act", "s" if n % 8 == 0 else "abc"[n % 3], "p", "c") for n in range(800)]
+    packed = pack_documents(spark.createDataFrame(docs, DOCS), "doc_id", "text", "source", capacity=64, targets={"s": 0.5}, window=4).toPandas()
+    early = packed[packed["container"].isin(sorted(packed["container"].unique())[:8])]
+    assert 0.4 < early.loc[early["source"] == "s", "n_tokens"].sum() / early["n_tokens"].sum() < 0.6
+
+
 def test_packing_report_and_empty_table(spark):
     empty = pack_documents(spark.createDataFrame([], DOCS), "doc_id", "text", "source")
     assert empty.count() == 0
