@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: References per key above which the key's group is split over several tasks.
-HOT_ROWS = 200_000
+#: References per key above which the key's group is split over several tasks, and most keys that are split.
+HOT_ROWS, HOT_KEYS = 200_000, 4096
 
 
-def orphan_references(parents: DataFrame, children: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def orphan_references(parents: DataFrame, children: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS, counted: DataFrame | None = None) -> DataFrame:
     """References whose target had no live row when the reference was made.
 
     ``parents``: ``parent_table, parent_key, loaded_at, deleted_at`` (one row per delivery). ``children``: ``parent_table,
@@ -23,20 +23,24 @@ def orphan_references(parents: DataFrame, children: DataFrame, hot_rows: int = H
     with parents that all came afterwards ``late``; otherwise ``deleted``.
 
     A key with more than ``hot_rows`` references is split: its references are spread over salts by ``ref_id`` and its parents
-    repeated once per salt. The hot keys number at most rows / ``hot_rows``, so this map is small by construction.
+    repeated once per salt. The ``hot_keys`` largest of such keys are split, so their map is bounded; any other key holds at most
+    1 / ``hot_keys`` of all references. ``counted`` (``parent_table, parent_key``) is what the keys are counted in, by default
+    ``children``: pass the rows before their repetitions were removed if these are cheaper to read.
 
     Null ``parent_key``: not a reference, left out. Null ``loaded_at``: the parent is known but never arrived (never live).
     Null ``ref_at``: no parent counts as live; ``ref_at`` stays null. Repeated rows: each orphan row is reported.
     Empty inputs give an empty result; with no parents every reference is ``missing``.
     """
     children = children.where(F.col("parent_key").isNotNull()).select("parent_table", "parent_key", "ref_table", "ref_id", "ref_at")
-    hot = (
-        children.groupBy("parent_table", "parent_key").count().where(F.col("count") > hot_rows)
-        .select("parent_table", "parent_key", F.ceil(F.col("count") / hot_rows).cast("int").alias("salts"))
-    )
+    sizes = (children if counted is None else counted).where(F.col("parent_key").isNotNull()).groupBy("parent_table", "parent_key").count()
+    largest = sizes.where(F.col("count") > hot_rows).orderBy(F.desc("count"), "parent_table", "parent_key").limit(hot_keys).collect()
+    hot = [(r["parent_table"], r["parent_key"], -(-r["count"] // hot_rows)) for r in largest]
 
     def salted(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(hot), ["parent_table", "parent_key"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        if not hot:
+            return df.withColumn("salts", F.lit(1))
+        split = df.sparkSession.createDataFrame(hot, "parent_table string, parent_key string, salts int")  # at most hot_keys rows
+        return df.join(F.broadcast(split), ["parent_table", "parent_key"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
 
     refs = salted(children).select(
         "parent_table", "parent_key", F.pmod(F.xxhash64("ref_table", "ref_id"), F.col("salts").cast("long")).cast("int").alias("salt"),

@@ -25,7 +25,8 @@ def act_references(spark: SparkSession, sf_dir: str) -> DataFrame:
         return one.where(F.col("ref_id").isNotNull()).select(F.lit("legislation").alias("parent_table"), "parent_key", F.lit(name).alias("ref_table"), "ref_id", "ref_at")
 
     refs = children(cited, "citation", F.col("id"), "uri", "recorded_at").unionByName(children(acts, "legislation", canonical_uri("uri"), "supersedes", "loaded_at"))
-    return orphan_references(parents, refs)
+    named = lambda df, target: df.select(F.lit("legislation").alias("parent_table"), canonical_uri(target).alias("parent_key"))
+    return orphan_references(parents, refs, counted=named(cited, "uri").unionByName(named(acts, "supersedes")))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,9 +134,9 @@ def stretches(intervals):
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_intervals_match_brute_force(spark, seed):
-    rng = random.Random(seed)
+@pytest.mark.parametrize("hot_rows", [5, 100, 200_000])
+def test_intervals_match_brute_force(spark, hot_rows):
+    rng = random.Random(hot_rows)
     data = []
     for _ in range(600):
         # one entity holds a third of all rows; intervals cross several of the small shards below
@@ -146,7 +146,7 @@ def test_intervals_match_brute_force(spark, seed):
         data.append((who, rng.choice([s, s, s, -719_162 if rng.random() < 0.1 else s, None]), e, "clash"))
     data += data[:50]
     df = spark.createDataFrame(data, "kind string, s int, e int, start_day string")
-    got = merge_intervals(df, ["kind"], "s", "e", shard_from=-100, shard_days=20, shards=10)
+    got = merge_intervals(df, ["kind"], "s", "e", hot_rows=hot_rows, shards=10)
     want = []
     for who in {d[0] for d in data}:
         own = stretches([(s, e) for w, s, e, _ in data if w == who and s is not None and s <= e])
@@ -156,6 +156,15 @@ def test_intervals_match_brute_force(spark, seed):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_a_huge_entity_inside_one_year_is_split(spark):
+    rng = random.Random(7)
+    data = [("hot", 18_000 + (s := rng.randint(0, 360)), 18_000 + s + rng.randint(0, 1)) for _ in range(150)] + [("hot", 18_100, 2_932_896)] * 2000 + [("cold", 1, 2)]
+    got = merge_intervals(spark.createDataFrame(data, "id string, s int, e int"), ["id"], "s", "e", hot_rows=50, shards=16)
+    own = stretches([d[1:] for d in data if d[0] == "hot"])
+    want = [("hot", "stretch", *o) for o in own] + [("hot", "gap", x[1] + 1, y[0] - 1, None) for x, y in zip(own, own[1:], strict=False)] + [("cold", "stretch", 1, 2, 1)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_intervals_empty_and_null(spark):
     schema = "id string, s int, e int"
     assert merge_intervals(spark.createDataFrame([], schema), ["id"], "s", "e").count() == 0
