@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 #: A field name counts as a level when one of these hold it; leaves keep their JSON text otherwise.
 LIST_KINDS = ("array", "object", "packed")
 
@@ -29,12 +30,20 @@ def parse_records(df: DataFrame, key: str, text: str) -> DataFrame:
     return parsed.where(F.size("_whole") == 1).select("_key", F.explode("_whole").alias("_v"))
 
 
-def as_list(v: Column, path: str) -> Column:
+def as_list(v: Column, name: str) -> Column:
     """A field as ``array<variant>``: a list as it is, a lone object as a list of one, text holding a JSON list as that list;
     anything else (null, numbers, other text) is null."""
-    packed = F.try_variant_get(F.try_parse_json(F.try_variant_get(v, path, "string")), "$", "array<variant>")
-    alone = F.when(is_object(v, path), F.array(F.try_variant_get(v, path, "variant")))
-    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), alone, packed)
+    packed = F.try_variant_get(F.try_parse_json(field_of(v, name, "string")), "$", "array<variant>")
+    alone = F.when(field_of(v, name, "struct<`_`:variant>").isNotNull(), F.array(field_of(v, name, "variant")))
+    return F.coalesce(field_of(v, name, "array<variant>"), alone, packed)
+
+
+def field_of(v: Column, name: str, kind: str) -> Column:
+    """A field of an object read as a type. Names that hold both kinds of quotes can't stand in a path and go through a map."""
+    if "'" in name and '"' in name:
+        inner = F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(name))
+        return inner if kind == "variant" else F.try_variant_get(inner, "$", kind)
+    return F.try_variant_get(v, _step(name), kind)
 
 
 def _step(field: str) -> str:
@@ -47,7 +56,8 @@ def infer_schema(df: DataFrame, text: str) -> DataFrame:
     """The merged schema of all records: ``path, field, kind, n_records``. ``path`` names the levels down to the objects that
     hold the field (``parts.chapters``; empty for the record itself); ``kind`` is ``array``, ``object``, ``packed`` (text holding a JSON
     list), ``text``, ``number``, ``boolean`` or ``null``. Partitions merge their own records first, so only distinct
-    (path, field, kind) triples are shuffled. Damaged and null records add nothing."""
+    (path, field, kind) triples are shuffled. Damaged and null records add nothing; a record nested more than 1,000 deep counts as
+    damaged here and in ``flatten_nested``, since no JSON reader of Spark takes it."""
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[tuple[str, str, str], int] = {}
@@ -93,49 +103,85 @@ def infer_schema(df: DataFrame, text: str) -> DataFrame:
 
 def nested_levels(schema: DataFrame, under: str, names: list[str] | None = None) -> dict[str, list[str]]:
     """The levels to explode below the field ``under``: level path -> its plain fields, parents before children. With ``names``,
-    only levels that lead to one of these fields. A field whose name holds both kinds of quotes can't be addressed and is left out. The schema is small (one row per field), whatever the number of records."""
-    rows = [r for r in schema.collect() if not ("'" in r["field"] and '"' in r["field"]) and (f"{r['path']}.{r['field']}" if r["path"] else r["field"]).split(".")[0] == under]
-    levels = {f"{r['path']}.{r['field']}" if r["path"] else r["field"] for r in rows if r["kind"] in LIST_KINDS}
+    only levels that lead to one of these fields. Only rows below ``under`` reach the driver, one for each field, whatever the number of
+    records. Levels are told apart by their names, so a name holding a dot must not stand among them."""
+    whole = F.when(F.col("path") == "", F.col("field")).otherwise(F.concat("path", F.lit("."), "field"))
+    rows = schema.withColumn("whole", whole).where((F.col("whole") == under) | F.col("whole").startswith(f"{under}.")).select("path", "field", "kind", "whole").distinct().collect()
+    levels = {r["whole"] for r in rows if r["kind"] in LIST_KINDS}
     if names is not None:
         levels = {p for p in levels if any((q == p or q.startswith(p + ".")) and q.rsplit(".", 1)[-1] in names for q in levels)}
-    return {p: sorted({r["field"] for r in rows if r["path"] == p and f"{p}.{r['field']}" not in levels}) for p in sorted(levels, key=lambda p: (p.count("."), p))}
+    fields: dict[str, set[str]] = {p: set() for p in levels}
+    for r in rows:
+        if r["path"] in levels and r["whole"] not in levels:
+            fields[r["path"]].add(r["field"])
+    return {p: sorted(fields[p]) for p in sorted(levels, key=lambda p: (p.count("."), p))}
 
 
-def flatten_nested(df: DataFrame, key: str, text: str, levels: dict[str, list[str]]) -> dict[str, DataFrame]:
-    """One table per level: the record key, ``node_id, parent_id`` (surrogate keys; the parent of a top-level object is its
-    record), ``ordinal`` (index in the list as stored, from 0), ``node_path, parent_path`` and the level's plain fields as text, each
-    named ``f_<field>`` so that no field can clash with these.
+def flatten_long(df: DataFrame, key: str, text: str, levels: list[str], keep_objects: bool = True) -> DataFrame:
+    """All objects of all levels in one frame: the record key, ``level, ordinal, node_path, parent_path`` and, unless left out, the
+    ``object`` itself.
 
-    Each level is exploded from the one above, carrying the parent's key and path; no join and no shuffle. A null or non-object
-    entry gives no row but keeps its index. Damaged, null and empty records give no rows.
+    Each record is parsed once. One expression walks its levels, the list of every level exploded inside the record, with path and
+    ordinal carried down; one explode at the end makes the rows. One scan, no join, no shuffle. A null or non-object entry gives no
+    row but keeps its index. Damaged, null and empty records give no rows.
     """
-    node = lambda path: F.xxhash64(F.col("_key"), path)
-    base = parse_records(df, key, text).select("_key", "_v", F.lit("").alias("_path"))
-    at: dict[str, DataFrame] = {"": base}
-    tables = {}
-    for level, fields in levels.items():
-        above, _, name = level.rpartition(".")
-        down = at[above].select("_key", F.col("_path").alias("_up"), F.posexplode(as_list(F.col("_v"), _step(name))).alias("_ordinal", "_v"))
-        path = F.concat(F.col("_up"), F.when(F.col("_up") == "", "").otherwise("/"), F.lit(f"{name}/"), F.col("_ordinal").cast("string"))
-        down = down.where(is_object(F.col("_v"))).select("_key", "_v", "_up", "_ordinal", path.alias("_path"))
-        at[level] = down
-        tables[level] = down.select(
-            F.col("_key").alias(key), node(F.col("_path")).alias("node_id"), node(F.col("_up")).alias("parent_id"), F.col("_ordinal").alias("ordinal"),
-            F.col("_path").alias("node_path"), F.col("_up").alias("parent_path"), *(F.try_variant_get("_v", _step(f), "string").alias(f"f_{f}") for f in fields),
-        )
-    return tables
-
-
-def node_table(tables: dict[str, DataFrame], key: str, names: dict[str, str], records: DataFrame | None = None) -> DataFrame:
+    kind = "level:string,ordinal:int,node_path:string,parent_path:string" + (",object:variant" if keep_objects else "")
+    nothing = F.array().cast(f"array<struct<{kind}>>")
+
+    def entries(level: str, name: str, path: Column | None):
+        def entry(x: Column, i: Column) -> Column:
+            steps = [F.lit(f"{name}/"), i.cast("string")]
+            here = F.concat(*steps) if path is None else F.concat(path, F.lit("/"), *steps)
+            columns = [F.lit(level).alias("level"), i.alias("ordinal"), here.alias("node_path"), (F.lit("") if path is None else path).alias("parent_path")]
+            own = F.array(F.struct(*columns, *([x.alias("object")] if keep_objects else [])))
+            return F.when(is_object(x), F.concat(own, *below(x, here, level))).otherwise(nothing)
+
+        return entry
+
+    def below(v: Column, path: Column | None, above: str) -> list[Column]:
+        names = [(level, level.rpartition(".")[2]) for level in levels if level.rpartition(".")[0] == above]
+        return [F.coalesce(F.flatten(F.transform(as_list(v, name), entries(level, name, path))), nothing) for level, name in names]
+
+    roots = below(F.col("_v"), None, "")
+    rows = parse_records(df, key, text).select(F.col("_key").alias(key), F.explode(F.concat(nothing, *roots)).alias("_n"))
+    return rows.select(key, *(F.col(f"_n.{c.split(':')[0]}").alias(c.split(":")[0]) for c in kind.split(",")))
+
+
+def surrogate(key: str, path: Column) -> Column:
+    """A 128-bit key of a node: its record and its path, as 32 hex digits. Collisions aren't to be expected at any number of nodes."""
+    return F.md5(F.concat_ws("|", F.col(key).cast("string"), path))
+
+
+def level_table(long: DataFrame, key: str, level: str, fields: list[str]) -> DataFrame:
+    """One level as a flat table: the record key, ``node_id, parent_id`` (surrogate keys; the parent of a top-level object is its
+    record), ``ordinal`` (index in the list as stored, from 0), ``node_path, parent_path`` and the level's plain fields as text, each
+    named ``f_<field>`` so that no field can clash with these."""
+    plain = [field_of(F.col("object"), f, "string").alias(f"f_{f}") for f in fields]
+    own, up = surrogate(key, F.col("node_path")).alias("node_id"), surrogate(key, F.col("parent_path")).alias("parent_id")
+    return long.where(F.col("level") == level).select(key, own, up, "ordinal", "node_path", "parent_path", *plain)
+
+
+def flatten_nested(df: DataFrame, key: str, text: str, levels: dict[str, list[str]], written: bool = False) -> dict[str, DataFrame]:
+    """One table per level; see ``level_table``. Each table alone is one scan, of its own level and those above. To use several, ask for
+    ``written``: all levels are then flattened in one pass, kept in the shared folder by level, and every table reads only its own."""
+    if written:
+        long = cut_lineage(flatten_long(df, key, text, list(levels)).withColumn("object", F.to_json("object")), by=["level"])
+        long = long.withColumn("object", F.try_parse_json("object"))
+        return {p: level_table(long, key, p, fields) for p, fields in levels.items()}
+    lead = lambda p: [q for q in levels if p == q or p.startswith(f"{q}.")]
+    return {p: level_table(flatten_long(df, key, text, lead(p)), key, p, fields) for p, fields in levels.items()}
+
+
+def node_table(df: DataFrame, key: str, text: str, levels: dict[str, list[str]], names: dict[str, str]) -> DataFrame:
     """All objects of the levels whose last step is in ``names`` (field -> node type): key, ``node_type, parent_path, node_path``. Where
-    there is no such level, the result is empty; ``records`` (the flattened frame) then gives the type of the key."""
-    wanted = [(t, names[p.rsplit(".", 1)[-1]]) for p, t in tables.items() if p.rsplit(".", 1)[-1] in names]
-    if not wanted and records is not None:
-        return empty_level(records, key).select(key, F.lit("").alias("node_type"), "parent_path", "node_path")
-    return reduce(DataFrame.unionByName, (t.select(key, F.lit(kind).alias("node_type"), "parent_path", "node_path") for t, kind in wanted))
+    there is no such level, the result is empty."""
+    found = flatten_long(df, key, text, list(levels), keep_objects=False)
+    last = F.element_at(F.split("level", r"\."), -1)
+    kind = F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), last)
+    return found.where(last.isin(*names)).select(key, kind.alias("node_type"), "parent_path", "node_path")
 
 
 def empty_level(df: DataFrame, key: str) -> DataFrame:
     """A level table without rows and without fields of its own."""
-    long, text = F.lit(0).cast("long"), F.lit("")
-    return df.limit(0).select(key, long.alias("node_id"), long.alias("parent_id"), F.lit(0).alias("ordinal"), text.alias("node_path"), text.alias("parent_path"))
+    text = F.lit("")
+    return df.limit(0).select(key, text.alias("node_id"), text.alias("parent_id"), F.lit(0).alias("ordinal"), text.alias("node_path"), text.alias("parent_path"))

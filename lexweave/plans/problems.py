@@ -51,20 +51,20 @@ def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 NODE_TYPES = {"chapters": "chapter", "sections": "section", "paragraphs": "paragraph", "commentaries": "commentary"}
 
 
-def act_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = table(spark, sf_dir, "raw_acts")
-    return flatten_nested(raw, "raw_id", "doc_json", nested_levels(infer_schema(raw, "doc_json"), "parts", list(NODE_TYPES)))
+def act_levels(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    return nested_levels(infer_schema(table(spark, sf_dir, "raw_acts"), "doc_json"), "parts", list(NODE_TYPES))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return node_table(act_tables(spark, sf_dir), "raw_id", NODE_TYPES, table(spark, sf_dir, "raw_acts"))
+    return node_table(table(spark, sf_dir, "raw_acts"), "raw_id", "doc_json", act_levels(spark, sf_dir), NODE_TYPES)
 
 
 def p5_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat section table, linked to its chapter table by parent_id."""
-    tables = act_tables(spark, sf_dir)
+    raw = table(spark, sf_dir, "raw_acts")
+    tables = flatten_nested(raw, "raw_id", "doc_json", act_levels(spark, sf_dir))
     levels = [t for p, t in tables.items() if p.endswith(".sections")]
-    out = levels[0] if levels else empty_level(table(spark, sf_dir, "raw_acts"), "raw_id")
+    out = levels[0] if levels else empty_level(raw, "raw_id")
     for more in levels[1:]:
         out = out.unionByName(more, allowMissingColumns=True)
     return out

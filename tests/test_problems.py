@@ -103,7 +103,7 @@ def test_nested_records(spark):
     schema = infer_schema(df, "doc")
     levels = nested_levels(schema, "parts", list(NAMES))
     tables = flatten_nested(df, "k", "doc", levels)
-    got = sorted(map(tuple, node_table(tables, "k", NAMES).collect()))
+    got = sorted(map(tuple, node_table(df, "k", "doc", levels, NAMES).collect()))
     c0, s0 = "parts/0/chapters/0", "parts/0/chapters/0/sections"
     assert got == sorted([
         (0, "chapter", "parts/0", c0), (0, "section", c0, f"{s0}/0"), (0, "section", c0, f"{s0}/2"), (0, "commentary", f"{s0}/2", f"{s0}/2/commentaries/0"),
@@ -112,10 +112,23 @@ def test_nested_records(spark):
     sections = tables["parts.chapters.sections"].collect()
     parents = {r["node_id"] for r in tables["parts.chapters"].collect()}
     assert {r["parent_id"] for r in sections} <= parents and {r["f_t"] for r in sections} == {"s", "u", "lone"}
+    kept = flatten_nested(df, "k", "doc", levels, written=True)
+    assert {p: sorted(map(tuple, t.collect())) for p, t in kept.items()} == {p: sorted(map(tuple, t.collect())) for p, t in tables.items()}
     kinds = {(r["path"], r["field"], r["kind"]) for r in schema.collect()}
     assert ("parts", "chapters", "packed") in kinds and ("", "parts", "object") in kinds
 
 
+def test_nested_fields_with_odd_names_and_depth(spark):
+    both = "a'b\"c"
+    deep = '{"parts": [' + '{"parts": [' * 400 + "{}" + "]}" * 400 + "]}"
+    df = spark.createDataFrame([(1, json.dumps({"parts": [{both: [{"x y": 5}], "it's": "v", "n": 1.5}]})), (2, deep)], "k long, doc string")
+    levels = nested_levels(infer_schema(df.where("k = 1"), "doc"), "parts")
+    tables = flatten_nested(df, "k", "doc", levels)
+    assert [r["f_x y"] for r in tables[f"parts.{both}"].collect()] == ["5"]
+    assert [(r["f_it's"], r["f_n"]) for r in tables["parts"].where("k = 1").collect()] == [("v", "1.5")]
+    assert max(r["path"].count("parts") for r in infer_schema(df, "doc").collect()) == 400 and tables["parts"].where("k = 2").count() == 1
+
+
 @pytest.mark.parametrize("texts", [[], [None, "", '{"parts": [{"chapters": [{"a": ']])
 def test_nested_records_without_levels(spark, tmp_path, texts):
     spark.createDataFrame(list(enumerate(texts)), "raw_id long, doc_json string").write.parquet(str(tmp_path / "raw_acts.parquet"))
