@@ -152,17 +152,50 @@ _ISO4 = lambda c: f"lpad(CAST(year(DATE '1970-01-01' + CAST({c} AS INTEGER)) AS
 _STOP = r"(?:[+,;/|&\n\r]|[ \t]and[ \t])"
 _ITEM = rf"""[ \t]*(?:"(?:[^"]|"")*"|''[^'']*''|“[^”]*”)[ \t]*(?:{_STOP}|$)|[^+,;/|&\n\r]*?(?:{_STOP}|$)"""
 _TRIM = rf"""regexp_replace(regexp_replace(x, '{_STOP}$', ''), '^\s+|\s+$', '', 'g')"""
+_ITEMS = rf"""list_transform(regexp_extract_all(restrict_extent, '{_ITEM}'), lambda x: {_TRIM})"""
+_DOUBLE, _OTHER = r"""'^"(?:[^"]|"")*"$'""", r"""'^(?:''[^'']*''|“[^”]*”)$'"""
+_PLAIN = rf"""trim(CASE WHEN regexp_matches(v, {_DOUBLE}) THEN replace(substr(v, 2, length(v) - 2), '""', '"') WHEN regexp_matches(v, {_OTHER}) THEN substr(v, 2, length(v) - 2) ELSE v END)"""
 _PACKED = rf"""
-WITH item AS (SELECT row_id, list_transform(regexp_extract_all(restrict_extent, '{_ITEM}'), lambda x: {_TRIM}) AS xs FROM section WHERE restrict_extent IS NOT NULL),
-val AS (SELECT row_id, list_filter(list_transform(xs, lambda v: trim(CASE WHEN regexp_matches(v, '^"(?:[^"]|"")*"$') THEN replace(substr(v, 2, length(v) - 2), '""', '"')
-  WHEN regexp_matches(v, '^(?:''[^'']*''|“[^”]*”)$') THEN substr(v, 2, length(v) - 2) ELSE v END)), lambda v: v <> '') AS vs FROM item)
+WITH item AS (SELECT row_id, {_ITEMS} AS xs FROM section WHERE restrict_extent IS NOT NULL),
+val AS (SELECT row_id, list_filter(list_transform(xs, lambda v: {_PLAIN}), lambda v: v <> '') AS vs FROM item)
 SELECT row_id, CAST(i AS INTEGER) AS pos, vs[i] AS extent_value FROM (SELECT row_id, vs, unnest(range(1, len(vs) + 1)) AS i FROM val WHERE len(vs) >= 2) n
 """
+_SHUT = f"(regexp_matches(v, {_DOUBLE}) OR regexp_matches(v, {_OTHER}))"
+_VALUES = f"""
+WITH item AS (SELECT 'section' AS record_type, row_id, {_ITEMS} AS xs FROM section WHERE restrict_extent IS NOT NULL
+  UNION ALL SELECT 'paragraph', row_id, {_ITEMS} FROM paragraph WHERE restrict_extent IS NOT NULL),
+one AS (SELECT record_type, row_id, i, xs[i] AS v FROM (SELECT *, unnest(range(1, len(xs) + 1)) AS i FROM item) n),
+val AS (SELECT record_type, row_id, i, {_PLAIN} AS value, CASE WHEN {_SHUT} THEN 'quoted' ELSE 'bare' END AS kind,
+  CASE WHEN substr(v, 1, 1) IN ('"', chr(39), '“') AND NOT {_SHUT} THEN 'malformed_quote' END AS error FROM one)
+SELECT record_type, row_id, CAST(row_number() OVER (PARTITION BY record_type, row_id ORDER BY i) AS INTEGER) AS pos, value, kind, error FROM val WHERE value <> ''
+"""
+
+_TEXT_LIST = "CASE WHEN json_valid(x ->> '$') THEN CASE WHEN json_type(x ->> '$') = 'ARRAY' THEN CAST(x ->> '$' AS JSON) END END"
+_AS_LIST = f"CAST(CASE json_type(x) WHEN 'ARRAY' THEN x WHEN 'OBJECT' THEN json_array(x) WHEN 'VARCHAR' THEN {_TEXT_LIST} END AS JSON[])"
+_NESTED = f"""
+WITH RECURSIVE node AS (
+  SELECT raw_id, '' AS kind, CAST(-1 AS BIGINT) AS ordinal, '' AS path, '' AS up, CAST(doc_json AS JSON) AS v FROM raw_acts
+  WHERE CASE WHEN json_valid(doc_json) THEN json_type(doc_json) = 'OBJECT' ELSE false END
+  UNION ALL
+  SELECT raw_id, name, i, path || CASE WHEN path = '' THEN '' ELSE '/' END || name || '/' || i, path, l[i + 1] FROM (
+    SELECT *, unnest(range(len(l))) AS i FROM (SELECT *, {_AS_LIST} AS l FROM (
+      SELECT raw_id, kind, path, name, json_extract(v, '$.' || name) AS x FROM node, (VALUES ('parts'), ('chapters'), ('sections'), ('paragraphs'), ('commentaries')) f(name)
+      WHERE (kind = '') = (name = 'parts')) a) b) c
+  WHERE json_type(l[i + 1]) = 'OBJECT')
+"""
+_FOUND = """SELECT raw_id, CASE kind WHEN 'commentaries' THEN 'commentary' ELSE left(kind, length(kind) - 1) END AS node_type, up AS parent_path, path AS node_path
+FROM node WHERE kind NOT IN ('', 'parts')"""
+_SECTION_FIELDS = ("order", "restrict_end_date", "restrict_extent", "restrict_start_date", "section_number", "status", "text", "title", "uri")
+_SECTIONS = f"""SELECT raw_id, md5(concat(raw_id, '|', path)) AS node_id, md5(concat(raw_id, '|', up)) AS parent_id, CAST(ordinal AS INTEGER) AS ordinal,
+path AS node_path, up AS parent_path, {", ".join(f"v ->> '$.{f}' AS f_{f}" for f in _SECTION_FIELDS)} FROM node WHERE kind = 'sections'"""
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_found": _PACKED,
+        "p4_values": _VALUES,
+        "p5_found": _NESTED + _FOUND,
+        "p5_sections": _NESTED + _SECTIONS,
         "p1_found": _ORPHANS + "SELECT ref_table, ref_id, reason, ref_month FROM orphan",
         "p1_orphans_by_month": _ORPHANS + "SELECT 'legislation' AS parent_table, ref_table, ref_month, reason, count(*) AS n_refs FROM orphan GROUP BY ref_table, ref_month, reason",
         "p6_found": _COVER + f"""SELECT record_type, record_id, status, 'period' AS kind, {_ISO4("a")} AS start_date, {_ISO4("b")} AS end_date FROM nxt WHERE n >= 2
