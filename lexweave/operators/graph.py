@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+
 def upsert_nodes(df: DataFrame, key: str, version: list[str]) -> DataFrame:
     """One row per key, the one with the greatest version columns (nulls least): the last write wins, as a whole row. Null keys are
-    dropped. One aggregation with map-side combine, so a key with many versions is no hot spot. Full ties go to the greatest row."""
+    dropped. One aggregation with map-side combine, so a key with many versions is no hot spot. Full ties go by a hash of the row, the
+    same row whatever the order of the input. The result has all columns of ``df``, so select what is needed before."""
     rest = [c for c in df.columns if c != key]
-    order = [F.col(c) for c in version] + [F.col(c) for c in rest if df.schema[c].dataType.typeName() not in ("map", "variant")]
-    best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_best"))
+    hashed = [c for c in rest if df.schema[c].dataType.typeName() not in ("map", "variant")]
+    order = F.struct(*version, F.xxhash64(*hashed)) if hashed else F.struct(F.lit(0))
+    best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_best"))
     return best.select(*(F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in df.columns))
 
 

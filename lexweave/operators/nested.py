@@ -15,41 +15,45 @@ from ..session import cut_lineage
 LIST_KINDS = ("array", "object", "packed")
 
 
-def is_object(v: Column, path: str = "$") -> Column:
+# The expressions below are SQL text: a walk over many levels and fields is then one call to the parser instead of thousands of calls
+# that each build one node of it.
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def is_object(v: str) -> str:
     """True for a variant that holds an object. Read as a struct of one field that need not be there, so nothing is copied."""
-    return F.try_variant_get(v, path, "struct<`_`:variant>").isNotNull()
+    return f"(try_variant_get({v}, '$', 'struct<`_`:variant>') IS NOT NULL)"
 
 
-def parse_records(df: DataFrame, key: str, text: str) -> DataFrame:
+def parse_records(df: DataFrame, key: Column, text: str) -> DataFrame:
     """Rows ``_key, _v`` with each record as a variant, for the texts that are exactly one JSON object; all others are left out."""
     t = F.trim(F.col(text), F.lit(" \t\n\r"))
     # inside a list, anything behind the first value is an error instead of being passed over
     whole = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
     # explode keeps the parsed list as a column: without it every later use would parse again
-    parsed = df.where(t.startswith("{") & t.endswith("}")).select(F.col(key).alias("_key"), F.explode(F.array(whole)).alias("_whole"))
+    parsed = df.where(t.startswith("{") & t.endswith("}")).select(key.alias("_key"), F.explode(F.array(whole)).alias("_whole"))
     return parsed.where(F.size("_whole") == 1).select("_key", F.explode("_whole").alias("_v"))
 
 
-def as_list(v: Column, name: str) -> Column:
-    """A field as ``array<variant>``: a list as it is, a lone object as a list of one, text holding a JSON list as that list;
-    anything else (null, numbers, other text) is null."""
-    packed = F.try_variant_get(F.try_parse_json(field_of(v, name, "string")), "$", "array<variant>")
-    alone = F.when(field_of(v, name, "struct<`_`:variant>").isNotNull(), F.array(field_of(v, name, "variant")))
-    return F.coalesce(field_of(v, name, "array<variant>"), alone, packed)
-
-
-def field_of(v: Column, name: str, kind: str) -> Column:
+def field_of(v: str, name: str, kind: str) -> str:
     """A field of an object read as a type. Names that hold both kinds of quotes can't stand in a path and go through a map."""
     if "'" in name and '"' in name:
-        inner = F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(name))
-        return inner if kind == "variant" else F.try_variant_get(inner, "$", kind)
-    return F.try_variant_get(v, _step(name), kind)
+        inner = f"try_element_at(try_variant_get({v}, '$', 'map<string,variant>'), {quoted(name)})"
+        return inner if kind == "variant" else f"try_variant_get({inner}, '$', {quoted(kind)})"
+    mark = '"' if "'" in name else "'"
+    return f"try_variant_get({v}, {quoted(f'$[{mark}{name}{mark}]')}, {quoted(kind)})"
 
 
-def _step(field: str) -> str:
-    """The variant path to a field of an object."""
-    quote = '"' if "'" in field else "'"
-    return f"$[{quote}{field}{quote}]"
+def as_list(v: str, name: str) -> str:
+    """A field as ``array<variant>``: a list as it is, a lone object as a list of one, text holding a JSON list as that list;
+    anything else (null, numbers, other text) is null."""
+    packed = f"try_variant_get(try_parse_json({field_of(v, name, 'string')}), '$', 'array<variant>')"
+    alone = f"CASE WHEN {field_of(v, name, 'struct<`_`:variant>')} IS NOT NULL THEN array({field_of(v, name, 'variant')}) END"
+    return f"coalesce({field_of(v, name, 'array<variant>')}, {alone}, {packed})"
 
 
 def infer_schema(df: DataFrame, text: str) -> DataFrame:
@@ -125,26 +129,24 @@ def flatten_long(df: DataFrame, key: str, text: str, levels: list[str], keep_obj
     ordinal carried down; one explode at the end makes the rows. One scan, no join, no shuffle. A null or non-object entry gives no
     row but keeps its index. Damaged, null and empty records give no rows.
     """
-    kind = "level:string,ordinal:int,node_path:string,parent_path:string" + (",object:variant" if keep_objects else "")
-    nothing = F.array().cast(f"array<struct<{kind}>>")
-
-    def entries(level: str, name: str, path: Column | None):
-        def entry(x: Column, i: Column) -> Column:
-            steps = [F.lit(f"{name}/"), i.cast("string")]
-            here = F.concat(*steps) if path is None else F.concat(path, F.lit("/"), *steps)
-            columns = [F.lit(level).alias("level"), i.alias("ordinal"), here.alias("node_path"), (F.lit("") if path is None else path).alias("parent_path")]
-            own = F.array(F.struct(*columns, *([x.alias("object")] if keep_objects else [])))
-            return F.when(is_object(x), F.concat(own, *below(x, here, level))).otherwise(nothing)
-
-        return entry
-
-    def below(v: Column, path: Column | None, above: str) -> list[Column]:
-        names = [(level, level.rpartition(".")[2]) for level in levels if level.rpartition(".")[0] == above]
-        return [F.coalesce(F.flatten(F.transform(as_list(v, name), entries(level, name, path))), nothing) for level, name in names]
-
-    roots = below(F.col("_v"), None, "")
-    rows = parse_records(df, key, text).select(F.col("_key").alias(key), F.explode(F.concat(nothing, *roots)).alias("_n"))
-    return rows.select(key, *(F.col(f"_n.{c.split(':')[0]}").alias(c.split(":")[0]) for c in kind.split(",")))
+    fields = ["level", "ordinal", "node_path", "parent_path", *(["object"] if keep_objects else [])]
+    kinds = dict.fromkeys(fields, "string") | {"ordinal": "int", "object": "variant"}
+    nothing = f"CAST(array() AS array<struct<{','.join(f'{c}:{kinds[c]}' for c in fields)}>>)"
+
+    def below(v: str, path: str, above: str, depth: int) -> list[str]:
+        found = []
+        for level in (p for p in levels if p.rpartition(".")[0] == above):
+            name, x, i = level.rpartition(".")[2], f"x{depth}", f"i{depth}"
+            here = f"concat({path}, {quoted(('/' if above else '') + name + '/')}, {i})"
+            values = [quoted(level), i, here, path, x]
+            own = f"array(named_struct({', '.join(f'{quoted(c)}, {val}' for c, val in zip(fields, values, strict=False))}))"
+            inner = f"concat({', '.join([own, *below(x, here, level, depth + 1)])})"
+            found.append(f"coalesce(flatten(transform({as_list(v, name)}, ({x}, {i}) -> CASE WHEN {is_object(x)} THEN {inner} ELSE {nothing} END)), {nothing})")
+        return found
+
+    roots = F.expr(f"concat({', '.join([nothing, *below('_v', quoted(''), '', 0)])})")
+    rows = parse_records(df, F.col(key), text).select(F.col("_key").alias(key), F.explode(roots).alias("_n"))
+    return rows.select(key, *(F.col(f"_n.{c}").alias(c) for c in fields))
 
 
 def surrogate(key: str, path: Column) -> Column:
@@ -156,7 +158,7 @@ def level_table(long: DataFrame, key: str, level: str, fields: list[str]) -> Dat
     """One level as a flat table: the record key, ``node_id, parent_id`` (surrogate keys; the parent of a top-level object is its
     record), ``ordinal`` (index in the list as stored, from 0), ``node_path, parent_path`` and the level's plain fields as text, each
     named ``f_<field>`` so that no field can clash with these."""
-    plain = [field_of(F.col("object"), f, "string").alias(f"f_{f}") for f in fields]
+    plain = [F.expr(field_of("object", f, "string")).alias(f"f_{f}") for f in fields]
     own, up = surrogate(key, F.col("node_path")).alias("node_id"), surrogate(key, F.col("parent_path")).alias("parent_id")
     return long.where(F.col("level") == level).select(key, own, up, "ordinal", "node_path", "parent_path", *plain)
 

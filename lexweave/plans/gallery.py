@@ -211,7 +211,10 @@ def shortest_paths_through_old_acts(s, d):
 
 
 def _graph(s, d):
-    return shred.shred(cut_lineage(documents_from_text(table(s, d, "raw_acts"), "doc_json", mend=True)))  # parsed once, read by every level
+    """The graph of the raw acts; of records fetched again the last one holds."""
+    raw = table(s, d, "raw_acts")
+    fetched = F.concat_ws("#", F.lpad(F.coalesce(F.unix_micros("fetched_at"), F.lit(0)).cast("string"), 20, "0"), F.lpad(F.col("raw_id").cast("string"), 20, "0"))
+    return shred.shred(documents_from_text(raw.withColumn("_fetched", fetched), "doc_json", mend=True, version="_fetched"))
 
 
 def shredded_nodes(s, d):

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from ..functions.urls import file_name
+from ..operators.nested import as_list, field_of, is_object, parse_records, quoted
 from .schema import document_schema
 
 
@@ -28,53 +25,36 @@ def usable_documents(df: DataFrame) -> DataFrame:
     return df.where(F.col("legislation_url").isNotNull() & (F.col("legislation_url") != ""))
 
 
-def tidy(value: object, kind: DataType) -> object:
-    """A JSON value in the declared shape: a lone object, or text holding a JSON list, where a list belongs becomes that list; null
+def tidy(v: str, kind: StructType, depth: int = 0) -> str:
+    """A variant in the declared shape, as SQL: a lone object, or text holding a JSON list, where a list belongs becomes that list; null
     entries of lists go; what can't be brought into shape is null."""
-    if isinstance(kind, ArrayType):
-        if isinstance(value, str):
-            try:
-                value = json.loads(value)
-            except ValueError:
-                return None
-        found = value if isinstance(value, list) else [value] if isinstance(value, dict) else None
-        return None if found is None else [x for x in (tidy(v, kind.elementType) for v in found) if x is not None]
-    if isinstance(kind, StructType):
-        return {f.name: tidy(value[f.name], f.dataType) for f in kind.fields if f.name in value} if isinstance(value, dict) else None
-    if isinstance(kind, StringType):
-        return value if value is None or isinstance(value, str) else json.dumps(value)
-    if isinstance(kind, BooleanType):
-        return value if isinstance(value, bool) else {"true": True, "false": False}.get(str(value).lower())
-    try:
-        return None if value is None or isinstance(value, bool) else int(value)
-    except (TypeError, ValueError):
-        return None
-
-
-def tidy_text(df: DataFrame, text: str) -> DataFrame:
-    """The column ``record``: JSON text of records brought into the declared shape; damaged text becomes null."""
-    schema = document_schema()
-
-    def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for record in batch["record"]:
-                try:
-                    out.append(json.dumps(tidy(json.loads(record), schema)) if record else None)
-                except (ValueError, RecursionError):
-                    out.append(None)
-            yield pd.DataFrame({"record": out})
-
-    return df.select(F.col(text).alias("record")).mapInPandas(mend, "record string")
-
-
-def documents_from_text(df: DataFrame, text: str, mend: bool = False) -> DataFrame:
+
+    def value(name: str, kind: DataType) -> str:
+        if isinstance(kind, ArrayType):
+            x = f"x{depth}"
+            shaped = f"transform({as_list(v, name)}, {x} -> CASE WHEN {is_object(x)} THEN {tidy(x, kind.elementType, depth + 1)} END)"
+            return f"filter({shaped}, {x} -> {x} IS NOT NULL)"
+        if isinstance(kind, StructType):
+            inner = field_of(v, name, "variant")
+            return f"CASE WHEN {is_object(inner)} THEN {tidy(inner, kind, depth)} END"
+        return field_of(v, name, kind.simpleString())
+
+    return f"named_struct({', '.join(f'{quoted(f.name)}, {value(f.name, f.dataType)}' for f in kind.fields)})"
+
+
+def documents_from_text(df: DataFrame, text: str, mend: bool = False, version: str | None = None) -> DataFrame:
     """Act records from a column of JSON text; damaged text gives no row. With ``mend``, records whose lists come in other shapes are
-    brought into the declared one first; without, they count as damaged."""
+    brought into the declared one; without, they count as damaged. ``version`` names a column that orders deliveries of one record and
+    stays as ``_version``. All in the JVM; every record is parsed once."""
+    order = F.lit(None).cast("string") if version is None else F.col(version)
     if mend:
-        df, text = tidy_text(df, text), "record"
-    parsed = df.select(F.from_json(text, document_schema().add("_corrupt_record", StringType()), {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("d"))
-    return usable_documents(parsed.where(F.col("d").isNotNull()).select("d.*"))
+        parsed = parse_records(df, order, text).select(F.col("_key").alias("_version"), F.explode(F.array(F.expr(tidy("_v", document_schema())))).alias("d"))
+        out = parsed.select("d.*", "_version")
+    else:
+        shape = document_schema().add("_corrupt_record", StringType())
+        parsed = df.select(order.alias("_version"), F.from_json(text, shape, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("d"))
+        out = parsed.where(F.col("d").isNotNull()).select("d.*", "_version")
+    return usable_documents(out if version else out.drop("_version"))
 
 
 def write_documents(df: DataFrame, path: str, prefix: str = "") -> None:

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.graph import upsert_edges, upsert_nodes
-from ..operators.shred import resolve, shred
+from ..operators.shred import ActGraph, act_items, graph_of
 from ..sources.documents import usable_documents
 from ..sources.schema import document_schema
 
@@ -19,14 +18,10 @@ def document_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 
 def load_batch(batch: DataFrame, batch_id: int, out: str) -> None:
-    """Writes the nodes and edges of one batch below ``out``, in a folder of the batch. A batch that is run again replaces its own
-    folder, so each record counts once however often it is tried. Edges that hang on nodes of other batches, such as citations, are
-    written open; ``current_edges`` resolves them."""
-    graph = shred(batch)
-    for label, df in graph.nodes.items():
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/nodes/{label}/batch={batch_id}")
-    graph.certain.write.mode("overwrite").parquet(f"{out}/edges/batch={batch_id}")
-    graph.open_edges.distinct().write.mode("overwrite").parquet(f"{out}/open_edges/batch={batch_id}")
+    """Writes the nodes and edges of one batch below ``out``, in a folder of the batch and one for each kind, in one pass over the batch.
+    A batch that is run again replaces its own folder, so each record counts once however often it is tried. Edges that hang on nodes
+    of other batches, such as citations, are written open; ``current_graph`` resolves them."""
+    act_items(batch).drop("version").write.mode("overwrite").partitionBy("what").parquet(f"{out}/items/batch={batch_id}")
 
 
 def start_loading(documents: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -34,16 +29,19 @@ def start_loading(documents: DataFrame, out: str, checkpoint: str, **trigger) ->
     return documents.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).foreachBatch(lambda df, n: load_batch(df, n, out)).start()
 
 
+def current_graph(spark: SparkSession, out: str) -> ActGraph:
+    """The graph over all batches: of each node the last written, and the edges whose ends are there; an act may be cited before or after
+    the batch that brings it."""
+    items = spark.read.parquet(f"{out}/items")
+    return graph_of(items.withColumn("version", F.lpad(F.col("batch").cast("string"), 20, "0")).drop("batch"))
+
+
 def current_nodes(spark: SparkSession, out: str, label: str) -> DataFrame:
-    """The nodes of a label over all batches, of each the last written."""
-    return upsert_nodes(spark.read.parquet(f"{out}/nodes/{label}").drop("batch"), "id", ["batch_id"]).drop("batch_id")
+    return current_graph(spark, out).nodes[label]
 
 
 def current_edges(spark: SparkSession, out: str) -> DataFrame:
-    """The edges over all batches; an act may be cited before or after the batch that brings it."""
-    certain, unsure = (spark.read.parquet(f"{out}/{kind}").drop("batch") for kind in ("edges", "open_edges"))
-    nodes = (spark.read.parquet(f"{out}/nodes/{label}") for label in ("Legislation", "Commentary", "Citation"))
-    return upsert_edges(certain.unionByName(resolve(unsure, *nodes)))
+    return current_graph(spark, out).edges
 
 
 def arrivals(events: DataFrame, at: str, key: str, late: str = "1 hour", width: str = "1 day") -> DataFrame:
