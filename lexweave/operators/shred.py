@@ -34,6 +34,16 @@ PROPERTIES = {
     "ExplanatoryNotes": ("uri",),
     "ExplanatoryNotesParagraph": ("text", "uri"),
 }
+#: Label -> the fields whose digest stands for a missing number.
+DIGESTED = {
+    "Part": ("order", "title", "status", *_DATES),
+    "Chapter": ("order", "title", "status", *_DATES),
+    "Section": ("order", "title", "status", "restrict_extent", *_DATES, "text"),
+    "Paragraph": ("order", "text", "status", "restrict_extent", *_DATES),
+    "Schedule": ("order", "title", "reference"),
+    "ScheduleParagraph": ("order", "crossheading", "text"),
+    "ScheduleSubparagraph": ("order", "text"),
+}
 EDGE, OPEN = "edge", "open_edge"
 #: The columns of an item: its kind (a label, or one of the two above), its ends, and all properties any label has.
 _ENDS = ("what", "id", "dst", "named")
@@ -85,10 +95,14 @@ def _edge(src: str, kind: str, dst: str, what: str = EDGE, named: str = "NULL")
 _NOTHING = f"filter(array({_item('', 'NULL')}), y -> false)"
 
 
-def _key(own: str | None, parent: str, tag: str, number: str | None, whole: str) -> str:
-    """The uri if there is one, else parent, tag and number, else a digest of the record."""
-    digest = f"md5(to_json({whole}))"
-    made = f"concat({parent}, '#{tag}_', {digest if number is None else f'coalesce({number}, {digest})'})"
+def digest(x: str, fields: tuple[str, ...]) -> str:
+    """A digest of an element's own plain fields. Its order among its siblings is one of them, so it tells siblings apart."""
+    return f"md5(concat_ws('|', {', '.join(f"coalesce(CAST({x}.`{f}` AS string), '')" for f in fields)}))"
+
+
+def _key(own: str | None, parent: str, tag: str, mark: str) -> str:
+    """The uri if there is one, else parent, tag and mark."""
+    made = f"concat({parent}, '#{tag}_', {mark})"
     return made if own is None else f"coalesce({own}, {made})"
 
 
@@ -162,7 +176,8 @@ class _Walk:
     def level(self, x: str, own: str | None, parent: str, tag: str, label: str, edge: str, props: tuple[str, ...], number: str, *below: Callable[[str], str], **columns: str) -> str:
         """A node of the hierarchy and all below it."""
         made = lambda key: _all(self.node(label, key, parent, edge, x, *props, number=f"{x}.{number}", **columns), *(b(key) for b in below))
-        return self.once(_key(own, parent, tag, f"{x}.{number}", x), made)
+        mark = f"coalesce({x}.{number}, {digest(x, DIGESTED[label])})"
+        return self.once(_key(own, parent, tag, mark), made)
 
     def paragraph(self, p: str, parent: str) -> str:
         props = ("order", "text", "uri", "status", "restrict_extent", *_DATES)
@@ -203,7 +218,7 @@ class _Walk:
             return self.once(f"concat({parent}, '#enp_', md5({p}.text))", made)
 
         made = lambda key: _all(self.node("ExplanatoryNotes", key, self.act, "HAS_EXPLANATORY_NOTES", n, "uri"), self.each(f"{n}.paragraphs", lambda p: one(p, key)))
-        return self.once(_key(f"{n}.uri", self.act, "en", None, n), made)
+        return self.once(f"coalesce({n}.uri, concat({self.act}, '#en'))", made)
 
     def record(self) -> str:
         """All items of a record: the act, the acts it names (stubs: they hold nothing but their uri), parts, schedules and notes."""
@@ -250,7 +265,8 @@ def shred(documents: DataFrame, section_text: bool = False, section_commentaries
     """The graph of act records (the declared schema; see ``sources.schema``).
 
     Records without ``legislation_url`` should be filtered out before. Absent fields and empty or null arrays give no rows. The number
-    of a level stands for its uri where there is none, and a digest of the record where there is neither. A column ``_version`` orders
+    of a level stands for its uri where there is none, and a digest of its own fields where there is neither. Notes without uri are those
+    of their act. A column ``_version`` orders
     records that hold the same node: the last one wins.
 
     ``section_text`` keeps the text of sections without paragraphs (off: null, as paragraphs alone carry text).

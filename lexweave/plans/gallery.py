@@ -410,6 +410,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from .gallery_sql import SQL
+    from . import gallery_sql, shred_sql
 
-    return SQL
+    return gallery_sql.SQL | shred_sql.SQL
