@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from .leakage import find_leaks
+from .leakage import RARE, find_leaks
 from .packing import pack_documents, packing_report
 from .quality import STATS, is_no_prose, quality_outliers
 from .splitting import split_records, split_text
@@ -57,8 +57,9 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_reparameterised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents holding an item with other numbers, names or units in its slots, consistently exchanged."""
-    return leaks(spark, sf_dir).where(F.col("swapped_windows") > 0).select("doc_id", "item_id", "exact_windows", "swapped_windows", "swapped_slots")
+    """Documents holding an item with other numbers, names or units in its slots, consistently exchanged; see RARE."""
+    found = leaks(spark, sf_dir).where(F.col("rare_windows") >= RARE)
+    return found.select("doc_id", "item_id", "exact_windows", "swapped_windows", "swapped_slots", F.round("rare_windows", 3).alias("rare_windows"))
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 
 pytest.importorskip("lexweave.llm.vectors")
 
-from lexweave.llm.leakage import find_leaks, words_of
+from lexweave.llm.leakage import RARE, find_leaks, words_of
 from lexweave.llm.packing import default_tokenizer, encoder, pack_documents, pack_shard, packing_report, stretches
 from lexweave.llm.quality import is_no_prose, quality_outliers, text_statistics
 from lexweave.llm.splitting import split_records
@@ -195,8 +195,10 @@ def leaks(spark, docs, items, **more):
     return {(r["doc_id"], r["item_id"]): r for r in find_leaks(d, "doc_id", "text", i, "item_id", "passage", **more).collect()}
 
 
-@pytest.mark.parametrize("most", [500_000, 20])
-def test_leaks_match_brute_force(spark, most):
+@pytest.mark.parametrize("bits", [27, 6])
+def test_leaks_match_brute_force(spark, bits, monkeypatch):
+    monkeypatch.setattr("lexweave.llm.leakage.LEAST_BITS", 6)
+    monkeypatch.setattr("lexweave.llm.leakage.MOST_BITS", bits)  # a filter that lets much through changes nothing
     rng = random.Random(2)
     items = [(n, ITEM.format(f"Town{n}a", f"Hill{n}b", n + 3, "tenant", "fee", n * 7), "x") for n in range(12)] + [(90, "too short to leak", "x"), (91, None, "x"), (92, PLAIN, "x")]
     noise = lambda: " ".join(rng.choice(PLAIN.split()) for _ in range(rng.randint(0, 60)))
@@ -207,7 +209,7 @@ def test_leaks_match_brute_force(spark, most):
         text = f"{noise()} {' '.join(words[a : a + rng.choice([5, 11, 13, 14, 40])])} {noise()}"
         docs.append((n, rng.choice([text, text.upper(), text.replace(" ", " "), text.replace("a", "ａ")]), "x"))
     docs += [(500, None, "x"), (501, "", "x"), docs[0]]
-    got = leaks(spark, docs, items, most_windows=most)
+    got = leaks(spark, docs, items)
     grams = lambda t: {tuple(w[k : k + 13]) for w in [words_of(t or "")] for k in range(len(w) - 12)}
     want = {(d, i) for d, t, _ in docs for i, p, _ in items if grams(t) & grams(p)}
     assert {k for k, r in got.items() if r["exact_windows"]} == want and len(want) > 30
@@ -226,7 +228,52 @@ def test_reparameterised_items_are_caught(spark):
     assert got[1, 1]["exact_windows"] == 0 and got[1, 1]["swapped_slots"] == 4 and got[1, 1]["swapped_windows"] > 5
     assert (3, 1) not in got and got[4, 1]["exact_windows"] == len(words_of(own)) - 12
     twisted = ITEM.format("Bremby", "Bremby", 387, "tenant", "fee", 387)  # one value of the item would stand for two
-    assert leaks(spark, [(7, twisted, "x")], [(1, ITEM.format("Alton", "Alton", 5, "tenant", "fee", 5), "x"), (2, ITEM.format("Alton", "Brook", 5, "tenant", "fee", 6), "x")]).keys() == {(7, 1)}
+    got = leaks(spark, [(7, twisted, "x")], [(1, ITEM.format("Alton", "Alton", 5, "tenant", "fee", 5), "x"), (2, ITEM.format("Alton", "Brook", 5, "tenant", "fee", 6), "x")])
+    n = len(words_of(twisted)) - 12
+    assert got[7, 1]["swapped_windows"] == n  # of the other item, only stretches that hold one of the two values are consistent
+    assert 0 < got[7, 2]["swapped_windows"] < n - 5
+
+
+def test_one_odd_slot_leaves_the_other_stretches(spark):
+    own = "from {} to {} the mill shall be kept by the tenant who sold it and by no other and the fee for {} shall be paid on the day that the old law had set by {} or by the one who sold it"
+    item = own.format("Alton", "Brook", "Alton", "Alton")
+    doc = own.format("Carn", "Dell", "Eld", "Eld")  # Alton stands for two names, far apart
+    got = leaks(spark, [(1, doc, "x")], [(1, item, "x")])[1, 1]
+    assert got["swapped_windows"] > 5 and got["exact_windows"] > 0 and got["swapped_slots"] >= 3
+
+
+def test_slot_heavy_windows_are_found_with_other_values(spark):
+    slots = "{} {} {} {} {} {} {} {} {} {} the mill was sold by the old tenant to the law for a fee of the day"
+    plain = [(n, t, "x") for n, t in enumerate(["the mill was sold by the old tenant to the law for a fee of the day"])]
+    item = (50, slots.format(*(f"Name{c}" for c in "abcdefghij")), "x")
+    doc = (1, slots.format(*(f"Other{c}" for c in "klmnopqrst")), "x")
+    got = leaks(spark, [doc, (2, " ".join(f"Some{n}" for n in range(40)), "x")], [*plain, item])
+    assert got[1, 50]["swapped_slots"] == 10 and not [k for k in got if k[0] == 2]
+
+
+def test_precision_and_recall_on_planted_copies(spark):
+    """Items share a stock sentence; documents hold re-parameterised copies, the stock sentence alone, or neither."""
+    rng = random.Random(11)
+    vocabulary = [a + b for a in ("par", "mil", "ten", "ord", "cou", "fee", "law", "rat") for b in ("ish", "ler", "ant", "er", "ncil", "ward", "yer", "ing")]
+    stock = "explain why the {} of {} lost against {} given that it held {} of the votes"
+    bodies = {n: [rng.choice(vocabulary) if rng.random() < 0.8 else "{}" for _ in range(30)] for n in range(30)}
+    name = lambda: "".join(rng.choice("bcdfgklmnprstvw") + rng.choice("aeiou") for _ in range(4)).title()
+
+    def fill(template):
+        return " ".join(name() if w == "{}" else w for w in template)
+
+    items = [(n, fill(bodies[n]) + ". " + stock.format(name(), name(), name(), rng.randint(100, 999)), "x") for n in bodies]
+    docs, want = [], set()
+    for d in range(90):
+        noise = lambda: " ".join(rng.choice(vocabulary) for _ in range(25))
+        n = rng.randrange(30)
+        middle = fill(bodies[n]) if d % 3 == 0 else stock.format(name(), name(), name(), rng.randint(100, 999)) if d % 3 == 1 else ""
+        docs.append((d, f"{noise()} {middle} {noise()}", "x"))
+        if d % 3 == 0:
+            want.add((d, n))
+    found = leaks(spark, docs, items)
+    got = {k for k, r in found.items() if r["rare_windows"] >= RARE}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
 
 
 def test_leaks_of_empty_tables(spark):
