@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from .leakage import RARE, find_leaks
+from .leakage import LITERALS, RARE, UNITS, find_leaks
 from .packing import pack_documents, packing_report
 from .quality import STATS, is_no_prose, quality_outliers
 from .splitting import split_records, split_text
@@ -115,5 +115,36 @@ SELECT DISTINCT doc_id, item_id FROM dg JOIN ig ON dg.g = ig.g
 """
 
 
+def _windows(name: str, source: str, key: str, text: str) -> str:
+    """Template windows of a table: ``id, k, key, ws``; kinds a (template), b (plain words) and c (template of the widened window)."""
+    template = f"CASE WHEN regexp_matches(x, '\\p{{N}}') THEN '<num>' WHEN x IN ({', '.join(repr(u) for u in sorted(UNITS))}) THEN '<unit>' WHEN list_contains(o, x) THEN x ELSE '<name>' END"
+    words = rf"list_filter(string_split_regex({_FOLD(text)}, '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    return rf"""{name}0 AS (SELECT DISTINCT {key} AS id, {words} AS w FROM {source} WHERE {text} IS NOT NULL AND {key} IS NOT NULL),
+{name}1 AS (SELECT id, w, list_transform(w, lambda x: {template}) AS t FROM {name}0, vocabulary),
+{name}2 AS (SELECT *, list_filter(range(1, len(w) + 1), lambda i: NOT starts_with(t[i], '<')) AS lits FROM {name}1),
+{name}3 AS (SELECT *, unnest(range(1, len(w) - 11)) AS k FROM {name}2 WHERE len(w) >= 13),
+{name}4 AS (SELECT *, len(list_filter(lits, lambda i: i < k)) AS c, len(list_filter(lits, lambda i: i >= k AND i < k + 13)) AS n FROM {name}3),
+{name} AS (SELECT id, k, 'a' || array_to_string(t[k : k + 12], ' ') AS key, w[k : k + 12] AS ws FROM {name}4 WHERE n >= {LITERALS}
+  UNION ALL SELECT id, k, 'b' || array_to_string(w[k : k + 12], ' '), w[k : k + 12] FROM {name}4 WHERE n < {LITERALS}
+  UNION ALL SELECT id, k, 'c' || array_to_string(t[k : lits[c + {LITERALS}]], ' '), w[k : lits[c + {LITERALS}]] FROM {name}4 WHERE n < {LITERALS} AND len(lits) >= c + {LITERALS})"""
+
+
+_RAW = f"translate(passage, '{_WIDE}', '{''.join(chr(ord(w) - 0xFEE0) for w in _WIDE).replace(chr(39), chr(39) * 2)}')"
+_SWAPS = rf"""
+WITH vocabulary AS (SELECT list(DISTINCT x) AS o FROM (SELECT unnest(string_split_regex({_RAW}, '[^\p{{L}}\p{{N}}]+')) AS x FROM eval_items) y WHERE x <> '' AND x = lower(x) AND NOT regexp_matches(x, '\p{{N}}')),
+{_windows("dw", "documents", "doc_id", "text")},
+{_windows("iw", "eval_items", "item_id", "passage")},
+shared AS (SELECT key, count(DISTINCT id) AS n FROM iw GROUP BY key),
+met AS (SELECT d.id AS doc_id, i.id AS item_id, d.k - i.k AS shift, i.k AS q, 1.0 / s.n AS rare, i.ws = d.ws AS same, i.ws AS a, d.ws AS b,
+  list_transform(range(1, len(i.ws) + 1), lambda j: i.ws[j] || ' ' || d.ws[j]) AS pairs FROM dw d JOIN iw i ON d.key = i.key JOIN shared s ON s.key = i.key),
+fit AS (SELECT *, list_filter(pairs, lambda p: split_part(p, ' ', 1) <> split_part(p, ' ', 2)) AS slots FROM met
+  WHERE len(list_distinct(pairs)) = len(list_distinct(a)) AND len(list_distinct(pairs)) = len(list_distinct(b))),
+each AS (SELECT doc_id, item_id, shift, q, max(CAST(same AS INTEGER)) AS same, max(rare) AS rare, flatten(list(slots)) AS slots FROM fit GROUP BY doc_id, item_id, shift, q),
+line AS (SELECT doc_id, item_id, sum(same) AS e, sum(1 - same) AS s, sum(CASE WHEN same = 0 THEN rare ELSE 0 END) AS r, len(list_distinct(flatten(list(slots)))) AS n FROM each GROUP BY doc_id, item_id, shift)
+SELECT doc_id, item_id, CAST(sum(e) AS INTEGER) AS exact_windows, CAST(sum(s) AS INTEGER) AS swapped_windows, CAST(max(n) AS INTEGER) AS swapped_slots, round(CAST(sum(r) AS DOUBLE), 3) AS rare_windows
+FROM line GROUP BY doc_id, item_id HAVING sum(r) >= {RARE}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _PAIRS, "p3_found": _LONG, "p8_found": _GRAMS, "p9_found": _PROSE}
+    return {"p2_found": _PAIRS, "p3_found": _LONG, "p8_found": _GRAMS, "p8_reparameterised": _SWAPS, "p9_found": _PROSE}
