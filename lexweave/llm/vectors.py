@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 #: Fixed point of the stored vectors: cosine values from them are within 3e-5 of the exact ones.
 SCALE = 32_767
 #: Most rows the codebooks are fitted on; every row is indexed and searched.
@@ -74,6 +76,14 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     return c
 
 
+def _spread(ids: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """The block of each id, by a mixed hash: ids that share a divisor spread like all others."""
+    h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return ((h >> np.uint64(33)) % blocks.astype(np.uint64)).astype(np.int64)
+
+
 class MultiIndex:
     """Two codebooks, one per vector half; a cell is a pair of centroids."""
 
@@ -135,7 +145,7 @@ def _search(table: pa.Table, k: int, least: float, both: bool, dim: int) -> pa.T
     order = np.argsort(wanted, kind="stable")
     asks, wanted = asks[order], wanted[order]
     cells, start = np.unique(cell[members], return_index=True)
-    stop = np.append(start[1:], len(members))
+    stop = np.append(start, len(members))[1:]  # a block may hold questions and no member
     lo, hi = np.searchsorted(wanted, cells, "left"), np.searchsorted(wanted, cells, "right")
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     floor = np.full(len(ids), least, np.float32)  # what a neighbour must reach; rises with the k-th best seen, where one side asks
@@ -206,8 +216,9 @@ def nearest_vectors(
     spark = vectors.sparkSession
     src = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("vec"))
     n = src.count()
-    draw = min(1.0, fit_rows / max(n, 1))
-    sample = src.where(F.pmod(F.xxhash64(F.col("id"), F.lit(11)), F.lit(1_000_000)) < int(draw * 1_000_000) + 1).select("vec").limit(2 * fit_rows).toArrow()
+    # a few more than needed are drawn, then the first by hash are taken: the same rows whatever their order
+    drawn = src.withColumn("hash", F.xxhash64(F.col("id"), F.lit(11))).where(F.pmod("hash", F.lit(1_000_000)) < int(1.2e6 * fit_rows / max(n, 1)) + 100)
+    sample = drawn.orderBy("hash", "id", "vec").limit(fit_rows).select("vec").toArrow()
     _, x = usable(sample["vec"].combine_chunks() if sample.num_rows else pa.array([], pa.list_(pa.float32())), dim)
     schema = "query long, other long, similarity float"
     if not len(x):
@@ -225,7 +236,9 @@ def nearest_vectors(
             codes = np.rint(unit * SCALE).astype(np.int16)
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows)), _binary(codes, np.full(len(rows), 2 * dim))], ["id", "code"])
 
-    encoded = src.mapInArrow(encode, "id long, code binary")
+    marks = [F.xxhash64("code").alias("h1"), F.hash("code").alias("h2")]
+    # encoded and written once: what follows reads the codes once, and then only ids and hashes
+    encoded = cut_lineage(src.mapInArrow(encode, "id long, code binary").select("id", "code", *marks))
     # equal codes collapse before they are shuffled; a query group's smallest query id speaks for it
     asking = F.col("id") % query_every == 0
     groups = encoded.groupBy("code").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.max(asking).alias("asks"))
@@ -243,13 +256,13 @@ def nearest_vectors(
                 alone = np.flatnonzero(~merged)
                 cols = for_queries[home[alone]]
                 m_row = np.repeat(alone, cols)
-                m_part = (ids[m_row] % for_members[home[m_row]]) * for_queries[home[m_row]] + _counter(cols)
+                m_part = _spread(ids[m_row], for_members[home[m_row]]) * for_queries[home[m_row]] + _counter(cols)
                 # questions: to one column of blocks of every centroid they visit
                 q_row, q_rank = np.nonzero((taken > 0) & asks[:, None])
                 rows = for_members[first[q_row, q_rank]]
                 q_row, q_rank = np.repeat(q_row, rows), np.repeat(q_rank, rows)
                 goal = first[q_row, q_rank]
-                q_part = _counter(rows) * for_queries[goal] + ids[q_row] % for_queries[goal]
+                q_part = _counter(rows) * for_queries[goal] + _spread(ids[q_row], for_queries[goal])
                 q_cell = np.where(merged[q_row] & (q_rank == 0), second[q_row, 0].astype(np.int32), -1)
                 visits = taken[q_row, q_rank]
                 flat = second[q_row][np.arange(second.shape[1])[None, :] < visits[:, None]]
@@ -271,9 +284,8 @@ def nearest_vectors(
     near = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank")
 
     # copies: only groups of two or more, found again by two hashes of their code
-    marks = [F.xxhash64("code").alias("h1"), F.hash("code").alias("h2")]
-    several = groups.where(F.col("n") > 1).select(*marks, F.col("id").alias("rep"))
-    member = encoded.select("id", *marks).join(several, ["h1", "h2"]).select("rep", "id").distinct()
+    several = encoded.select("id", "h1", "h2").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+    member = encoded.select("id", "h1", "h2").join(several, ["h1", "h2"]).select("rep", "id").distinct()
     early = member.withColumn("r", F.row_number().over(W.partitionBy("rep").orderBy("id"))).where(F.col("r") <= k + 1)
     heads = early.groupBy("rep").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     to = heads.select(F.col("rep").alias("other"), F.col("ids").alias("others"))

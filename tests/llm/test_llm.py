@@ -11,7 +11,7 @@ from lexweave.llm.leakage import RARE, find_leaks, words_of
 from lexweave.llm.packing import default_tokenizer, encoder, pack_documents, pack_shard, packing_report, stretches
 from lexweave.llm.quality import is_no_prose, quality_outliers, text_statistics
 from lexweave.llm.splitting import split_records
-from lexweave.llm.vectors import MultiIndex, kmeans, nearest_vectors, similar_pairs
+from lexweave.llm.vectors import MultiIndex, _spread, kmeans, nearest_vectors, similar_pairs
 
 DIM = 16
 VECTORS = "vec_id long, v array<float>, query string, similarity int"
@@ -69,6 +69,18 @@ def test_blocks_of_hot_centroids_change_nothing(spark, monkeypatch):
     assert got == want and want
 
 
+def test_blocks_spread_a_query_set(spark, monkeypatch):
+    ids = np.arange(0, 200_000, 20)
+    for blocks in (2, 4, 5, 10):
+        got = np.bincount(_spread(ids, np.full(len(ids), blocks)), minlength=blocks)
+        assert got.min() > 0.9 * len(ids) / blocks
+    x = clustered(6, groups=4, each=60, alone=100)
+    find = lambda: sorted((r["query"], r["other"]) for r in nearest_vectors(frame(spark, x), "vec_id", "v", k=5, dim=DIM, lists=64, cells=4096, query_every=20).collect())
+    want = find()
+    monkeypatch.setattr("lexweave.llm.vectors.BLOCK_ROWS", 3)
+    assert find() == want and want
+
+
 def test_copies_are_neighbours_by_id(spark):
     x = clustered(4, groups=3, each=4, alone=30)
     many = [(1000 + i, [float(a) * 3 for a in x[0]], "", 0) for i in range(30)]  # same direction, another length
