@@ -47,17 +47,13 @@ def default_tokenizer() -> str:
 
 
 def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
-    """The text in stretches of about ``size`` characters, each but the first beginning with a single blank before a letter; the
-    tokenizer's pattern never joins the blank to what stands before it. Where there is no such place within eight times the
-    size, the text is cut there (its tokens may then differ from those of the whole text by one or two)."""
+    """The text in stretches of ``size`` characters or more, each but the first beginning with a single blank before a letter; the
+    tokenizer's pattern never joins the blank to what stands before it, so the tokens are those of the whole text. Where there is no
+    such place the stretch goes on, to the end of the text if need be."""
     at = 0
-    while len(text) - at > size:
-        place = _BREAK.search(text, at + size, at + 8 * size)
-        if place is None and len(text) <= at + 8 * size:
-            break
-        cut = place.start() if place else at + 8 * size
-        yield text[at:cut]
-        at = cut
+    while len(text) - at > size and (place := _BREAK.search(text, at + size)):
+        yield text[at : place.start()]
+        at = place.start()
     yield text[at:]
 
 
@@ -141,23 +137,27 @@ def pack_documents(
     df: DataFrame, doc_id: str, text: str, source: str, tokenizer: str | None = None, capacity: int = 2048,
     targets: dict[str, float] | None = None, shard_tokens: int = SHARD_TOKENS, window: int = WINDOW,
 ) -> DataFrame:
-    """Every document's place: ``doc_id, piece, source, container, offset, n_tokens, window``.
+    """Every document's place: ``doc_id, piece, source, container, offset, n_tokens, window, shard``.
 
     Containers hold ``capacity`` tokens of the public tokenizer in the ranks file ``tokenizer``. A document stays whole unless it alone
     exceeds a container; then it is cut into pieces of ``capacity`` tokens and a rest, numbered from 1. Documents without tokens
-    (null, empty) get a place of size 0. ``container`` is unique over all shards.
+    (null, empty) get a place of size 0. ``container`` is unique over all shards, windows are numbered within each.
 
     ``targets`` maps sources to shares of tokens (others share what is left by their size); by default every source's share of the
-    corpus. Documents are spread over shards by a hash of their id, whatever their source, so a source of any size is worked by
+    corpus. Documents are spread over shards by a hash of id and text, whatever their source, so a source of any size is worked by
     all tasks and a shard holds about ``shard_tokens`` tokens. Each shard starts from the deficits that the shards before it
-    leave (targets less actual tokens, summed over the shards before: known from per-shard totals, without waiting for them).
+    leave: what they held of a source less its part of the corpus, known from per-shard totals without waiting for them (one row for each
+    ``shard_tokens`` tokens, the only rows that one task sums). A target beyond a source's part of the corpus ends with the source's
+    documents in each shard, and nothing of it is carried.
 
     A null source is a source of its own. Null or repeated ids: packed row by row like others. An empty table gives no rows.
     Every source in ``targets`` has a queue of its own; the largest others fill up to ``QUEUES``, the rest share one. Other columns are ignored.
     """
     path = tokenizer or default_tokenizer()
     src = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(source).isNull().alias("unnamed"), F.col(text).alias("text"))
-    counted = cut_lineage(count_tokens(src, "text", path, ["doc_id", "source", "unnamed"]))  # tokenized once, whatever is lost later
+    # rows without id, and copies under one id, spread over all shards like others
+    mark = F.xxhash64("doc_id", "text", F.when(F.col("doc_id").isNull(), F.rand(7)))
+    counted = cut_lineage(count_tokens(src.withColumn("mark", mark), "text", path, ["doc_id", "source", "unnamed", "mark"]))  # tokenized once, whatever is lost later
     per_source = counted.groupBy("source", "unnamed").agg(F.sum("n_tokens").alias("tokens"))
     named = F.col("source").isin(*(targets or {})) & ~F.col("unnamed")
     totals = per_source.orderBy(named.desc(), F.desc("tokens"), "source", "unnamed").limit(max(QUEUES, len(targets or {}))).collect()
@@ -169,17 +169,18 @@ def pack_documents(
     queue = F.lit(len(totals))
     for n, r in enumerate(totals):
         queue = F.when((F.col("source") == r["source"]) & (F.col("unnamed") == r["unnamed"]), n).otherwise(queue)
-    shard = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("mark", F.lit(5)), F.lit(shards)).cast("int")
     placed = counted.select("doc_id", F.when(~F.col("unnamed"), F.col("source")).alias("source"), "n_tokens", queue.cast("int").alias("queue"), shard.alias("shard"))
     # what the shards before owe each queue: one row per shard, whatever the number of documents
     by_shard = placed.groupBy("shard").agg(F.sum("n_tokens").alias("all"), *(F.coalesce(F.sum(F.when(F.col("queue") == q, F.col("n_tokens"))), F.lit(0)).alias(f"q{q}") for q in range(len(shares))))
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    owed = [F.coalesce(F.sum("all").over(before) * s - F.sum(f"q{q}").over(before), F.lit(0.0)).cast("double") for q, s in enumerate(shares)]
+    usual = [t / max(1, grand) for t in tokens]
+    owed = [F.coalesce(F.sum("all").over(before) * u - F.sum(f"q{q}").over(before), F.lit(0.0)).cast("double") for q, u in enumerate(usual)]
     carried = by_shard.select("shard", F.array(*owed).alias("owed"))
 
     def pack(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
-            return pd.DataFrame(columns=["doc_id", "piece", "source", "container", "offset", "n_tokens", "window"])
+            return pd.DataFrame(columns=["doc_id", "piece", "source", "container", "offset", "n_tokens", "window", "shard"])
         here = int(rows["shard"].iloc[0])
         rows = rows.sort_values(["doc_id", "n_tokens"], kind="stable").reset_index(drop=True)
         items, origin = [], []
@@ -191,10 +192,10 @@ def pack_documents(
         got = rows.iloc[origin][["doc_id", "source"]].reset_index(drop=True)
         return got.assign(
             piece=np.array([i[1] for i in items], dtype="int32"), container=np.array([p[0] for p in out], dtype="int64") * shards + here, offset=np.array([p[1] for p in out], dtype="int32"),
-            n_tokens=np.array([i[3] for i in items], dtype="int32"), window=np.array([p[2] for p in out], dtype="int32"),
-        )[["doc_id", "piece", "source", "container", "offset", "n_tokens", "window"]]
+            n_tokens=np.array([i[3] for i in items], dtype="int32"), window=np.array([p[2] for p in out], dtype="int32"), shard=np.full(len(out), here, dtype="int32"),
+        )[["doc_id", "piece", "source", "container", "offset", "n_tokens", "window", "shard"]]
 
-    return placed.groupBy("shard").cogroup(carried.groupBy("shard")).applyInPandas(pack, "doc_id long, piece int, source string, container long, offset int, n_tokens int, window int")
+    return placed.groupBy("shard").cogroup(carried.groupBy("shard")).applyInPandas(pack, "doc_id long, piece int, source string, container long, offset int, n_tokens int, window int, shard int")
 
 
 def _shares(names: list[str | None], tokens: list[int], targets: dict[str, float] | None) -> list[float]:
@@ -211,3 +212,24 @@ def packing_report(packed: DataFrame, capacity: int = 2048) -> DataFrame:
     per = packed.groupBy("source").agg(F.count_if(F.col("piece") == 1).alias("n_docs"), F.count(F.lit(1)).alias("n_pieces"), F.sum("n_tokens").cast("long").alias("n_tokens"))
     total = F.sum("n_tokens").over(W.partitionBy(F.lit(1)))
     return per.withColumn("token_share", F.col("n_tokens") / total).join(F.broadcast(boxes), how="cross")
+
+
+def packing_faults(packed: DataFrame, targets: dict[str, float], capacity: int = 2048, window: int = WINDOW, slack: float = 0.02) -> DataFrame:
+    """One row that counts what a packing must not have: documents placed in more than one piece though they fit a container, containers
+    over capacity, pieces that overlap or leave a hole within a container, and windows in which a source with a target, while all sources
+    still wait, is off its part of the window's ``window`` containers by more than ``slack`` and one container; with the numbers of documents and tokens placed."""
+    order = W.partitionBy("container").orderBy("offset", "n_tokens")
+    at = packed.select("*", F.coalesce(F.lag(F.col("offset") + F.col("n_tokens")).over(order), F.lit(0)).alias("_free"))
+    boxes = at.groupBy("container").agg(F.sum("n_tokens").alias("tokens"), F.count_if(F.col("offset") != F.col("_free")).alias("holes"))
+    held = boxes.agg(F.count_if(F.col("tokens") > capacity).alias("over_capacity"), F.coalesce(F.sum("holes"), F.lit(0)).alias("misplaced"))
+    cut = packed.where((F.col("piece") == 1) & (F.col("n_tokens") < capacity)).join(packed.where(F.col("piece") == 2).select("doc_id"), "doc_id", "left_semi")
+    whole = packed.agg(F.count_if(F.col("piece") == 1).alias("n_docs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("long").alias("n_tokens"))
+    # shares are promised from the third window on, when the deficits of other shards are settled, until the first queue is empty
+    ends = packed.groupBy("shard", "source").agg(F.max("window").alias("last")).groupBy("shard").agg(F.min("last").alias("last"))
+    per = packed.groupBy("shard", "window").agg(*(F.coalesce(F.sum(F.when(F.col("source") == n, F.col("n_tokens"))), F.lit(0)).alias(f"t{i}") for i, n in enumerate(targets)))
+    off = [F.abs(F.col(f"t{i}") / (window * capacity) - share) > slack + 1 / window for i, share in enumerate(targets.values())]
+    bad = F.lit(False)
+    for o in off:
+        bad = bad | o
+    windows = per.join(ends, "shard").where(F.col("window").between(2, F.col("last") - 1)).agg(F.count_if(bad).alias("off_target"))
+    return whole.crossJoin(cut.agg(F.count(F.lit(1)).alias("needless_cuts"))).crossJoin(held).crossJoin(windows)

@@ -6,21 +6,26 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 #: The statistics, in the order of the model's rows.
 STATS = ("log_words", "mean_word_length", "symbol_ratio", "closed_lines", "common_share")
 #: Punctuation that ends a line of prose, and closing marks that may follow it.
 ENDS, CLOSERS = r"[.!?;:]", "[\"')\\]}”’»]"
-#: Most rows a list of common words may have to be held by every task.
-MOST_WORDS = 20_000
+#: Most common words, all languages together: every task holds them, so a longer list is refused with an error.
+MOST_WORDS = 200_000
+#: Least spread of each statistic, in the order of STATS: what a text of some twenty words or lines can't tell apart. A statistic that
+#: hardly varies in a language must not decide alone.
+LEAST_SPREAD = (0.05, 0.05, 0.002, 0.02, 0.01)
 #: 0.975 quantile of the chi-squared distribution with 5 degrees of freedom: squared distances below it count as prose.
 CHI2 = 12.8325
 
 
-def word_lists(common: DataFrame) -> dict[str, list[str]]:
+def word_lists(common: DataFrame, most: int = MOST_WORDS) -> dict[str, list[str]]:
     """Common words per language. The table is held by every task, so its size is checked."""
-    rows = common.where(F.col("lang").isNotNull() & F.col("word").isNotNull()).select("lang", "word").distinct().limit(MOST_WORDS + 1).collect()
-    if len(rows) > MOST_WORDS:
-        raise ValueError(f"more than {MOST_WORDS} common words")
+    rows = common.where(F.col("lang").isNotNull() & F.col("word").isNotNull()).select("lang", "word").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} common words")
     out: dict[str, list[str]] = {}
     for r in sorted(rows):
         out.setdefault(r["lang"], []).append(r["word"])
@@ -68,7 +73,7 @@ def _vector() -> list[Column]:
     return [F.log1p("n_words"), *(F.col(c) for c in STATS[1:])]
 
 
-def fit_prose(stats: DataFrame, rounds: int = 3) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+def fit_prose(stats: DataFrame, rounds: int = 3, least_spread: tuple[float, ...] = LEAST_SPREAD) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Robust mean and inverse covariance of the statistics per language, over all documents.
 
     Starts from medians and median absolute deviations, then concentrates: in each round the mean and covariance are taken over
@@ -89,7 +94,7 @@ def fit_prose(stats: DataFrame, rounds: int = 3) -> dict[str, tuple[np.ndarray,
         return out
 
     off = rows.groupBy("language").agg(*(F.percentile_approx(F.abs(F.col(c) - by_language(middle, i)), 0.5, 2000).alias(c) for i, c in enumerate(names)))
-    floor = np.array([0.05, 0.05, 0.002, 0.02, 0.01])  # a statistic that hardly varies must not decide alone
+    floor = np.array(least_spread)
     spread = {r[0]: np.maximum(1.4826 * np.array(r[1:], float), floor) for r in off.collect()}
     model = {lang: (middle[lang], np.diag(spread[lang] ** -2.0)) for lang in middle}
     pairs = [(i, j) for i in range(len(v)) for j in range(i, len(v))]
@@ -121,7 +126,7 @@ def distance(model: dict[str, tuple[np.ndarray, np.ndarray]], v: list[Column]) -
     return sum(parts[1:], parts[0]), parts
 
 
-def quality_outliers(documents: DataFrame, text: str, keep: list[str], common: DataFrame, rounds: int = 3) -> DataFrame:
+def quality_outliers(documents: DataFrame, text: str, keep: list[str], common: DataFrame, rounds: int = 3, least_spread: tuple[float, ...] = LEAST_SPREAD) -> DataFrame:
     """Every document's statistics, its ``distance`` from the prose of its language (robust Mahalanobis distance) and each statistic's
     contribution to the squared distance (``from_<statistic>``).
 
@@ -129,8 +134,8 @@ def quality_outliers(documents: DataFrame, text: str, keep: list[str], common: D
     without words, or without any common word, have no language and a null distance: they are no prose of any. A model needs more
     than 50 documents near its centre; below that it rests on medians alone. Every input row gives one row. An empty table gives none.
     """
-    stats = text_statistics(documents, text, keep, word_lists(common)).persist()
-    model = fit_prose(stats, rounds)
+    stats = cut_lineage(text_statistics(documents, text, keep, word_lists(common)))  # a few numbers for each document; texts are read once
+    model = fit_prose(stats, rounds, least_spread)
     d2, parts = distance(model, _vector()) if model else (F.lit(None).cast("double"), [F.lit(None).cast("double")] * len(STATS))
     return stats.select("*", F.when(d2.isNotNull(), F.sqrt(F.greatest(d2, F.lit(0.0)))).alias("distance"), *(p.alias(f"from_{s}") for p, s in zip(parts, STATS, strict=True)))
 

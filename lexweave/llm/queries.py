@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .leakage import LITERALS, RARE, UNITS, find_leaks
-from .packing import pack_documents, packing_report
-from .quality import STATS, is_no_prose, quality_outliers
+from .packing import pack_documents, packing_faults, packing_report
+from .quality import CHI2, LEAST_SPREAD, STATS, is_no_prose, quality_outliers
 from .splitting import split_records, split_text
 from .vectors import nearest_vectors, similar_pairs
 
@@ -39,6 +39,28 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, map(cut, TEXT_TABLES))
 
 
+def p3_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text put together again from its pieces, and whether all pieces keep the limit and share what they should."""
+
+    def whole(name: str) -> DataFrame:
+        kept = table(spark, sf_dir, name).select("row_id", split_text("text").alias("pieces")).where(F.col("pieces").isNotNull())
+        again = F.array_join(F.transform("pieces", lambda p: F.substring(p["text"], p["shared"] + 1, p["length"])), "")
+        shared = F.forall("pieces", lambda p: ((p["piece"] == 1) & (p["shared"] == 0)) | p["shared"].between(149, 200))
+        return kept.select(F.lit(name).alias("record_type"), "row_id", F.md5(again).alias("text_md5"), F.forall("pieces", lambda p: p["length"] <= 2000).alias("within_limit"), shared.alias("overlaps"))
+
+    return reduce(DataFrame.unionByName, map(whole, TEXT_TABLES))
+
+
+#: Shares of tokens that differ from those of the corpus.
+TARGETS = {"notes": 0.25, "guidance": 0.2}
+
+
+def p7_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a packing to unequal targets, in several shards, has of faults: nothing, with every document placed once."""
+    packed = pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text", "source", targets=TARGETS, shard_tokens=150_000, window=16)
+    return packing_faults(packed, TARGETS, window=16).drop("n_tokens")
+
+
 def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's container of 2,048 tokens, sources balanced at the corpus' own proportions."""
     return pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
@@ -71,14 +93,14 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's statistics, distance from its language's prose, and the statistic that takes it farthest."""
-    parts = [F.struct(F.col(f"from_{s}").alias("d"), F.lit(s).alias("s")) for s in STATS]
-    worst = F.when(F.col("distance").isNotNull(), F.greatest(*parts)["s"])
-    return quality(spark, sf_dir).withColumn("farthest", worst)
+    """Every document's statistics, distance from its language's prose, and what each statistic adds to the squared distance."""
+    plain = [F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "closed_lines", "common_share")]
+    parts = [(F.round(f"from_{s}", 3) + 0.0).alias(f"from_{s}") for s in STATS]  # no -0.0
+    return quality(spark, sf_dir).select("doc_id", "n_words", *plain, "language", F.round("distance", 4).alias("distance"), *parts)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_nearest, p3_found, p3_pieces, p7_packing, p7_report, p8_found, p8_reparameterised, p9_found, p9_outliers)}
+    return {f.__name__: f for f in (p2_found, p2_nearest, p3_found, p3_pieces, p3_rebuilt, p7_packing, p7_report, p7_faults, p8_found, p8_reparameterised, p9_found, p9_outliers)}
 
 
 _PAIRS = """
@@ -108,8 +130,12 @@ u AS (SELECT doc_id, text, ws, len(ws) AS n, regexp_replace(text, '{_BLANK}+', '
   list_filter(list_transform(string_split(text, chr(10)), lambda l: regexp_replace(l, '^{_BLANK}+|{_BLANK}+$', '', 'g')), lambda l: l <> '') AS ls FROM t),
 s AS (SELECT doc_id, n, length(solid) / n AS mean, length(regexp_replace(solid, '[\p{{L}}\p{{N}}]', '', 'g')) / length(solid) AS symbols,
   len(list_filter(ls, lambda l: regexp_matches(l, '[.!?;:]["'')\]}}”’»]*$'))) / len(ls) AS closed,
-  greatest(len(list_filter(bare, lambda w: list_contains(en, w))), len(list_filter(bare, lambda w: list_contains(cy, w)))) / n AS common FROM u, cw WHERE n > 0)
-SELECT doc_id FROM u WHERE n < 30
+  len(list_filter(bare, lambda w: list_contains(en, w))) AS en_hits, len(list_filter(bare, lambda w: list_contains(cy, w))) AS cy_hits, greatest(en_hits, cy_hits) / n AS common FROM u, cw WHERE n > 0)
+"""
+_PROSE_STATS = _PROSE + """, st AS (SELECT u.doc_id, u.n AS n_words, coalesce(mean, 0.0) AS mean_word_length, coalesce(symbols, 0.0) AS symbol_ratio, coalesce(closed, 0.0) AS closed_lines, coalesce(common, 0.0) AS common_share,
+  CASE WHEN cy_hits > 0 AND cy_hits >= en_hits THEN 'cy' WHEN en_hits > 0 THEN 'en' END AS language FROM u LEFT JOIN s USING (doc_id))
+"""
+_PROSE += """SELECT doc_id FROM u WHERE n < 30
 UNION ALL
 SELECT doc_id FROM s WHERE n >= 30 AND CAST(mean < 3.0 OR mean > 8.5 AS INTEGER) + CAST(symbols > 0.10 AS INTEGER) + CAST(closed < 0.5 AS INTEGER) + CAST(common < 0.20 AS INTEGER) >= 2
 """
@@ -156,5 +182,56 @@ FROM line GROUP BY doc_id, item_id HAVING sum(r) >= {RARE}
 """
 
 
+_REBUILT = " UNION ALL ".join(f"SELECT '{t}' AS record_type, row_id, md5(text) AS text_md5, true AS within_limit, true AS overlaps FROM {t} WHERE text IS NOT NULL" for t in TEXT_TABLES)
+_FAULTLESS = "SELECT count(*) AS n_docs, " + ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in ("needless_cuts", "over_capacity", "misplaced", "off_target")) + " FROM documents"
+
+
+def _outlier_sql() -> str:
+    """Robust distances with the covariance taken apart into triangles by hand."""
+    n, floor = len(STATS), LEAST_SPREAD
+    each = lambda f: ", ".join(f(i) for i in range(n))
+    lower = [(i, j) for i in range(n) for j in range(i + 1)]
+    steps = [
+        f"x AS (SELECT doc_id, n_words, mean_word_length, symbol_ratio, closed_lines, common_share, language, ln(1 + n_words) AS x0, mean_word_length AS x1, symbol_ratio AS x2, closed_lines AS x3, common_share AS x4 FROM st)",
+        "fine AS (SELECT * FROM x WHERE n_words > 0 AND language IS NOT NULL)",
+        f"med AS (SELECT language, {each(lambda i: f'quantile_disc(x{i}, 0.5) AS m{i}')} FROM fine GROUP BY language)",
+        f"mad AS (SELECT language, {each(lambda i: f'quantile_disc(abs(x{i} - m{i}), 0.5) AS s{i}')} FROM fine JOIN med USING (language) GROUP BY language)",
+        f"k0 AS (SELECT language, {each(lambda i: f'm{i}')}, {', '.join(f'greatest(1.4826 * s{i}, {floor[i]}) AS l{i}{j}' if i == j else f'0.0 AS l{i}{j}' for i, j in lower)} FROM med JOIN mad USING (language))",
+    ]
+
+    def solved(model: str, out: str, rows: str) -> list[str]:
+        """z with L z = x - m, one CTE for each row."""
+        made, last = [], f"(SELECT r.*, {each(lambda i: f'm{i}')}, {', '.join(f'l{i}{j}' for i, j in lower)} FROM {rows} r JOIN {model} USING (language))"
+        for i in range(n):
+            name = f"{out}{i}"
+            made.append(f"{name} AS (SELECT *, (x{i} - m{i}{''.join(f' - l{i}{j} * z{j}' for j in range(i))}) / l{i}{i} AS z{i} FROM {last} q{i})")
+            last = name
+        return made
+
+    for r in range(3):
+        steps += solved(f"k{r}", f"e{r}_", "fine")
+        cov = ", ".join(f"sum(x{i} * x{j}) / count(*) - avg(x{i}) * avg(x{j}){f' + {floor[i] ** 2!r}' if i == j else ''} AS a{i}{j}" for i, j in lower)
+        steps.append(f"c{r} AS (SELECT language, count(*) AS n, {each(lambda i: f'avg(x{i}) AS m{i}')}, {cov} FROM e{r}_{n - 1} WHERE {' + '.join(f'z{i} * z{i}' for i in range(n))} < {CHI2} GROUP BY language HAVING count(*) > {10 * n})")
+        last = f"c{r}"
+        for j in range(n):
+            steps.append(f"d{r}_{j} AS (SELECT *, sqrt(a{j}{j}{''.join(f' - l{j}{k} * l{j}{k}' for k in range(j))}) AS l{j}{j} FROM {last})")
+            below = [f"(a{i}{j}{''.join(f' - l{i}{k} * l{j}{k}' for k in range(j))}) / l{j}{j} AS l{i}{j}" for i in range(j + 1, n)]
+            last = f"d{r}_{j}"
+            if below:
+                steps.append(f"f{r}_{j} AS (SELECT *, {', '.join(below)} FROM {last})")
+                last = f"f{r}_{j}"
+        columns = f"{each(lambda i: f'm{i}')}, {', '.join(f'l{i}{j}' for i, j in lower)}"
+        steps.append(f"k{r + 1} AS (SELECT language, {columns} FROM {last} UNION ALL SELECT language, {columns} FROM k{r} WHERE language NOT IN (SELECT language FROM {last}))")
+    steps += solved("k3", "g", "(SELECT * FROM x WHERE language IS NOT NULL)")
+    last = f"g{n - 1}"
+    for i in reversed(range(n)):  # and L' p = z
+        steps.append(f"h{i} AS (SELECT *, (z{i}{''.join(f' - l{j}{i} * p{j}' for j in range(i + 1, n))}) / l{i}{i} AS p{i} FROM {last})")
+        last = f"h{i}"
+    parts = each(lambda i: f"round(h.p{i} * (x.x{i} - h.m{i}), 3) + 0.0 AS from_{STATS[i]}")
+    return f"""{_PROSE_STATS}, {", ".join(steps)}
+SELECT x.doc_id, x.n_words, round(x.mean_word_length, 6) AS mean_word_length, round(x.symbol_ratio, 6) AS symbol_ratio, round(x.closed_lines, 6) AS closed_lines, round(x.common_share, 6) AS common_share,
+x.language, round(sqrt({" + ".join(f"h.z{i} * h.z{i}" for i in range(n))}), 4) AS distance, {parts} FROM x LEFT JOIN h0 h USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _PAIRS, "p2_nearest": _NEAREST, "p3_found": _LONG, "p8_found": _GRAMS, "p8_reparameterised": _SWAPS, "p9_found": _PROSE}
+    return {"p2_found": _PAIRS, "p2_nearest": _NEAREST, "p3_found": _LONG, "p3_rebuilt": _REBUILT, "p7_faults": _FAULTLESS, "p9_outliers": _outlier_sql(), "p8_found": _GRAMS, "p8_reparameterised": _SWAPS, "p9_found": _PROSE}

@@ -19,7 +19,11 @@ def body_pattern(most: int, least: int) -> str:
     ways = [rf".{{1,{most}}}\z"]
     for b in BOUNDARIES:
         width = 3 if b.startswith("[.!?]") else 2
-        ways.append(rf".{{{max(1, least - width)},{most - width}}}{b}" if "\\n[" not in b else rf".{{{max(1, least - 2)},{most - 12}}}\n[^\S\n]{{0,10}}\n")
+        if b == BOUNDARIES[0]:  # a wide blank line is left to the next piece
+            ways.append(rf".{{{max(1, least - 2)},{most - 12}}}\n[^\S\n]{{0,10}}\n")
+            ways.append(rf".{{{max(1, least - 1)},{most - 1}}}\n(?=[^\S\n]{{11,{most}}}+\n)")
+        else:
+            ways.append(rf".{{{max(1, least - width)},{most - width}}}{b}")
     return f"(?s)(?:{'|'.join(ways)}|.{{1,{most}}})"
 
 

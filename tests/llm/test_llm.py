@@ -8,7 +8,7 @@ import pytest
 pytest.importorskip("lexweave.llm.vectors")
 
 from lexweave.llm.leakage import RARE, find_leaks, words_of
-from lexweave.llm.packing import default_tokenizer, encoder, pack_documents, pack_shard, packing_report, stretches
+from lexweave.llm.packing import default_tokenizer, encoder, pack_documents, pack_shard, packing_faults, packing_report, stretches
 from lexweave.llm.quality import is_no_prose, quality_outliers, text_statistics
 from lexweave.llm.splitting import split_records
 from lexweave.llm.vectors import MultiIndex, _spread, kmeans, nearest_vectors, similar_pairs
@@ -138,9 +138,9 @@ def test_pieces_rebuild_the_text(spark):
 
 def test_stronger_boundaries_come_first(spark):
     text = "a" * 150 + ".\n\n" + "b" * 40 + ". " + "c" * 200
-    df = spark.createDataFrame([(1, text)], "row_id long, text string")
-    first = split_records(df, "text", ["row_id"], limit=240, overlap=20).orderBy("piece").first()["text"]
-    assert first == "a" * 150 + ".\n\n"
+    first = lambda t: split_records(spark.createDataFrame([(1, t)], "row_id long, text string"), "text", ["row_id"], limit=240, overlap=20).orderBy("piece").first()["text"]
+    assert first(text) == "a" * 150 + ".\n\n"
+    assert first("a" * 150 + ".\n" + " " * 40 + "\n" + "b" * 10 + ".\n" + "c" * 200) == "a" * 150 + ".\n"  # a wide blank line is one too
 
 
 DOCS = "doc_id long, text string, source string, piece string, container string"
@@ -183,6 +183,19 @@ def test_small_source_with_a_target_has_its_own_queue(spark, monkeypatch):
     assert 0.4 < early.loc[early["source"] == "s", "n_tokens"].sum() / early["n_tokens"].sum() < 0.6
 
 
+def test_proportions_hold_over_several_shards(spark):
+    rng = random.Random(3)
+    names = [f"s{n}" for n in range(70)]  # more sources than queues
+    docs = [(n, "law act of " * rng.randint(1, 20), rng.choice(["a", "b", "c", rng.choice(names)]), "p", "c") for n in range(6000)]
+    docs += [(None, "one and the same", "a", "p", "c")] * 400
+    targets = {"b": 0.5, "s7": 0.004}
+    packed = pack_documents(spark.createDataFrame(docs, DOCS), "doc_id", "text", "source", capacity=128, targets=targets, shard_tokens=40_000, window=48)
+    faults = packing_faults(packed, {"b": 0.5}, capacity=128, window=48).first().asDict()
+    assert faults.pop("n_docs") == 6400 and faults.pop("n_tokens") > 100_000 and not any(faults.values())
+    shards = {r["shard"]: r["count"] for r in packed.where("doc_id IS NULL").groupBy("shard").count().collect()}
+    assert len(shards) >= 4 and max(shards.values()) < 200  # rows without id don't meet in one shard
+
+
 def test_packing_report_and_empty_table(spark):
     empty = pack_documents(spark.createDataFrame([], DOCS), "doc_id", "text", "source")
     assert empty.count() == 0
@@ -193,7 +206,7 @@ def test_packing_report_and_empty_table(spark):
 
 def test_stretches_don_t_change_the_tokens():
     enc = encoder(default_tokenizer())
-    for text in ("word  two\n three 4 five's " * 40, "a" * 900, " " * 700 + "x y z" * 50):
+    for text in ("word  two\n three 4 five's " * 40, "a" * 900, " " * 700 + "x y z" * 50, "x1-" * 2000, "a" * 600 + "\n" * 300 + " b" * 90):
         assert sum(len(enc.encode_ordinary(s)) for s in stretches(text, 50)) == len(enc.encode_ordinary(text))
 
 
