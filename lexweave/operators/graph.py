@@ -80,18 +80,18 @@ def trail_counts(edges: DataFrame, roots: DataFrame, last: list[str], types: lis
 
 def expand(edges: DataFrame, starts: DataFrame, types: list[str] | None = None, least: int = 1, most: int = 6) -> DataFrame:
     """All paths of ``least`` to ``most`` steps from the ids of ``starts``: ``root, id, depth, path`` (ids in order). No node is visited
-    twice on a path. Depth 0 is the start itself."""
-    step = (edges.where(F.col("type").isin(types)) if types else edges).select("src", "dst")
+    twice on a path. Depth 0 is the start itself. Every level is written once and read by the next; the walk ends at an empty one."""
+    step = cut_lineage((edges.where(F.col("type").isin(types)) if types else edges).select("src", "dst"))  # every level reads them
     level = starts.select(F.col("id").alias("root"), F.col("id"), F.lit(0).alias("depth"), F.array("id").alias("path"))
     parts = [level] if least == 0 else []
     for depth in range(1, most + 1):
-        level = (
-            level.join(step, level["id"] == step["src"]).where(~F.array_contains("path", F.col("dst")))
-            .select("root", F.col("dst").alias("id"), F.lit(depth).alias("depth"), F.array_append("path", F.col("dst")).alias("path"))
-        )
+        further = level.join(step, level["id"] == step["src"]).where(~F.array_contains("path", F.col("dst")))
+        level = cut_lineage(further.select("root", F.col("dst").alias("id"), F.lit(depth).alias("depth"), F.array_append("path", F.col("dst")).alias("path")))
         if depth >= least:
             parts.append(level)
-    return reduce(DataFrame.unionByName, parts)
+        if level.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, parts) if parts else level.limit(0)
 
 
 def all_shortest_paths(edges: DataFrame, source: str, target: str, most: int = 10, interior: DataFrame | None = None) -> DataFrame:
@@ -149,13 +149,16 @@ def degree_counts(acts: DataFrame, links: DataFrame, samples: int = 5) -> DataFr
     The sample lists come from ranked rows, at most ``samples`` per act, so an act cited by a third of all rows collects no more.
     """
 
+    titled = acts.select(F.col("uri"), F.col("title").alias("_title"))
+    pairs = cut_lineage(links.select("src", "dst").distinct())  # both sides read them
+
     def side(mine: str, other: str, name: str) -> DataFrame:
-        pairs = links.select(F.col(mine).alias("uri"), F.col(other).alias("_other")).distinct()
-        named = pairs.join(acts.select(F.col("uri").alias("_other"), F.col("title").alias("_title")), "_other")
-        counts = named.groupBy("uri").agg(F.count(F.lit(1)).alias(f"{name}_count"))
-        titles = named.where(F.col("_title").isNotNull()).select("uri", "_title").distinct()
-        first = titles.withColumn("_r", F.row_number().over(W.partitionBy("uri").orderBy("_title"))).where(F.col("_r") <= samples)
-        return counts.join(first.groupBy("uri").agg(F.sort_array(F.collect_list("_title")).alias(f"top_{name}_titles")), "uri", "left")
+        named = pairs.select(F.col(mine).alias("_mine"), F.col(other).alias("uri")).join(titled, "uri").select(F.col("_mine").alias("uri"), "_title")
+        # one row for each title of an act, numbered by titles; the rows of a title add up to the count
+        each = named.groupBy("uri", "_title").agg(F.count(F.lit(1)).alias("_n"))
+        ranked = each.withColumn("_r", F.row_number().over(W.partitionBy("uri").orderBy(F.asc_nulls_last("_title"))))
+        first = F.filter(F.sort_array(F.collect_list(F.when(F.col("_r") <= samples, F.col("_title")))), lambda t: t.isNotNull())
+        return ranked.groupBy("uri").agg(F.sum("_n").alias(f"{name}_count"), first.alias(f"top_{name}_titles"))
 
     out = acts.select("uri", "title").join(side("src", "dst", "outgoing"), "uri", "left").join(side("dst", "src", "incoming"), "uri", "left")
     none = F.array().cast("array<string>")

@@ -42,7 +42,7 @@ def citation_weights(s, d):
 
 def citation_table(s, d):
     """Links with titles, heaviest first."""
-    a = model.acts(s, d).select("uri", "title")
+    a = model.acts(s, d, "title")
     out = model.links(s, d).join(a.select(F.col("uri").alias("src"), F.col("title").alias("src_title")), "src").join(a.select(F.col("uri").alias("dst"), F.col("title").alias("dst_title")), "dst")
     return out.orderBy(F.desc("weight"), "src", "dst")
 
@@ -53,7 +53,7 @@ def linked_network(s, d):
 
 
 def citation_degrees(s, d):
-    out = graph.degree_counts(model.acts(s, d), model.links(s, d))
+    out = graph.degree_counts(model.acts(s, d, "title"), model.links(s, d))
     return out.withColumns({c: F.array_join(c, "; ") for c in ("top_outgoing_titles", "top_incoming_titles")})
 
 
@@ -69,17 +69,17 @@ def one_part(s, d):
 
 def citing_upward(s, d, uri=None):
     """Citations of all acts, or those whose uri contains a text, with the acts that make them."""
-    a = model.acts(s, d).select("uri", "title")
-    c = model.citations(s, d).where(_under("uri", uri)).select(F.col("id").alias("citation_id"), F.col("legis_uri").alias("citing_uri"), F.col("uri").alias("cited_uri"))
+    a = model.acts(s, d, "title")
+    c = model.citations(s, d, "legis_uri", "uri").where(_under("uri", uri)).select(F.col("id").alias("citation_id"), F.col("legis_uri").alias("citing_uri"), F.col("uri").alias("cited_uri"))
     return c.join(a.select(F.col("uri").alias("citing_uri"), F.col("title").alias("citing_title")), "citing_uri").join(a.select(F.col("uri").alias("cited_uri")), "cited_uri", "left_semi")
 
 
 def notes_with_citations(s, d, uri=None):
     """All acts, or those whose uri contains a text, with their notes and, independently, the citations in them: every pair of both, or
     nulls where there is none."""
-    a = model.acts(s, d).where(_under("uri", uri)).select("uri")
+    a = model.act_ids(s, d).where(_under("uri", uri))
     notes = table(s, d, "notes_paragraph").select(canonical_uri("legis_uri").alias("uri"), F.col("id").alias("note_id")).distinct()
-    cites = model.citations(s, d).where(F.col("origin") == "notes").select(F.col("legis_uri").alias("uri"), F.col("id").alias("citation_id"))
+    cites = model.citations(s, d, "legis_uri", "origin").where(F.col("origin") == "notes").select(F.col("legis_uri").alias("uri"), F.col("id").alias("citation_id"))
     return a.join(notes, "uri", "left").join(cites, "uri", "left")
 
 
@@ -88,12 +88,12 @@ def supersede_network(s, d):
 
 
 def supersedes_chain(s, d):
-    return search.supersede_step(model.acts(s, d), model.supersede_edges(s, d), "pensions")
+    return search.supersede_step(model.acts(s, d, "title"), model.supersede_edges(s, d), "pensions")
 
 
 def superseded_chain(s, d):
     back = model.supersede_edges(s, d).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return search.supersede_step(model.acts(s, d), back, "pensions")
+    return search.supersede_step(model.acts(s, d, "title"), back, "pensions")
 
 
 def _timed(s, d):
@@ -139,26 +139,30 @@ def amendment_timeline(s, d):
 
 
 def yearly_enactments(s, d):
-    return temporal.yearly_series(model.acts(s, d), "enactment_date")
+    return temporal.yearly_series(model.acts(s, d, "enactment_date"), "enactment_date")
+
+
+def _ids(s, d, name):
+    return table(s, d, name).select("id").where(F.col("id").isNotNull()).distinct()
 
 
 def dashboard_metrics(s, d):
-    return catalog.metrics(model.acts(s, d), model.sections(s, d), model.paragraphs(s, d), model.links(s, d)).withColumn("years", T.year_range(F.col("first_enacted"), F.col("last_enacted")))
+    return catalog.metrics(model.acts(s, d, "enactment_date"), _ids(s, d, "section"), _ids(s, d, "paragraph"), model.links(s, d)).withColumn("years", T.year_range(F.col("first_enacted"), F.col("last_enacted")))
 
 
 def acts_per_category(s, d):
-    return model.acts(s, d).groupBy(F.lower(F.trim("category")).alias("category"), F.lower(F.trim("status")).alias("status")).agg(F.count(F.lit(1)).alias("n_acts"))
+    return model.acts(s, d, "category", "status").groupBy(F.lower(F.trim("category")).alias("category"), F.lower(F.trim("status")).alias("status")).agg(F.count(F.lit(1)).alias("n_acts"))
 
 
 def corpus_table(s, d):
-    return model.acts(s, d).select("title", "uri", "category", "status", "enactment_date", "coming_into_force").orderBy(F.asc_nulls_last("enactment_date"), "uri")
+    return model.acts(s, d, "title", "category", "status", "enactment_date", "coming_into_force").select("title", "uri", "category", "status", "enactment_date", "coming_into_force").orderBy(F.asc_nulls_last("enactment_date"), "uri")
 
 
 def topic_network(s, d):
     """Links among the acts on one topic: the word stands in the act's title or in a section title."""
     word = "pension"
-    h = model.sections(s, d).where(T.contains_folded(F.col("title"), word)).select(F.col("legis_uri").alias("id"))
-    a = model.acts(s, d).where(T.contains_folded(F.col("title"), word)).select(F.col("uri").alias("id"))
+    h = model.sections(s, d, "legis_uri", "title").where(T.contains_folded(F.col("title"), word)).select(F.col("legis_uri").alias("id"))
+    a = model.acts(s, d, "title").where(T.contains_folded(F.col("title"), word)).select(F.col("uri").alias("id"))
     return graph.closed_network(model.links(s, d), a.unionByName(h))
 
 
@@ -181,11 +185,11 @@ def act_full_text(s, d, uri=None):
 
 def descendants(s, d, uri=None):
     """All structural descendants of all acts, or those whose uri contains a text, by bounded expansion, with their depth."""
-    sec, par = model.sections(s, d), model.paragraphs(s, d)
+    sec, par = model.sections(s, d, "legis_uri", "chapter_id"), model.paragraphs(s, d, "section_id")
     edges = sec.select(F.col("legis_uri").alias("src"), F.col("chapter_id").alias("dst"), F.lit("HAS_CHAPTER").alias("type")).distinct()
     edges = edges.unionByName(sec.select(F.col("chapter_id").alias("src"), F.col("id").alias("dst"), F.lit("HAS_SECTION").alias("type")))
     edges = edges.unionByName(par.select(F.col("section_id").alias("src"), F.col("id").alias("dst"), F.lit("HAS_PARAGRAPH").alias("type"))).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    starts = model.acts(s, d).where(_under("uri", uri)).select(F.col("uri").alias("id"))
+    starts = model.act_ids(s, d).where(_under("uri", uri)).select(F.col("uri").alias("id"))
     return graph.expand(edges, starts, ["HAS_CHAPTER", "HAS_SECTION", "HAS_PARAGRAPH"], 1, 6).select("root", "id", "depth")
 
 
@@ -206,7 +210,7 @@ def shortest_path(s, d):
 
 def shortest_paths_through_old_acts(s, d):
     """All shortest paths of up to five steps whose inner acts were enacted by 1990."""
-    old = model.acts(s, d).where(F.year("enactment_date") <= 1990).select(F.col("uri").alias("id"))
+    old = model.acts(s, d, "enactment_date").where(F.year("enactment_date") <= 1990).select(F.col("uri").alias("id"))
     return graph.all_shortest_paths(_act_network(s, d), *_ends(s, d), most=5, interior=old).select(F.array_join("path", " > ").alias("path"), "hops")
 
 
@@ -237,7 +241,7 @@ def linked_to_weights(s, d):
 
 
 def upserted_acts(s, d):
-    return model.acts(s, d).select("uri", "row_id", "title", "status", "modified_date")
+    return model.acts(s, d, "row_id", "title", "status", "modified_date").select("uri", "row_id", "title", "status", "modified_date")
 
 
 def duplicate_acts(s, d):
@@ -264,7 +268,7 @@ def subref_parents(s, d):
 
 def crawled_acts(s, d, uri=None):
     """Acts reached from all acts, or those whose uri contains a text, over pages made from the tables, wave by wave."""
-    seeds = model.acts(s, d).where(_under("uri", uri)).select(F.col("uri").alias("url"), F.lit(0).alias("depth"))
+    seeds = model.act_ids(s, d).where(_under("uri", uri)).select(F.col("uri").alias("url"), F.lit(0).alias("depth"))
     out = crawl(seeds, model.pages(s, d))
     return out.select("url", "depth", "wave", F.col("document.identifier.title").alias("title"), F.size("links").alias("n_links"), F.col("error").isNotNull().alias("failed"))
 
@@ -297,45 +301,45 @@ def best_per_label(s, d):
 
 
 def acts_by_vector(s, d):
-    return search.find_acts_by_vector(_query(s, d), model.context(s, d), model.acts(s, d)).withColumn("vector_score", F.round("vector_score", 5))
+    return search.find_acts_by_vector(_query(s, d), model.context(s, d), model.acts(s, d, "title", "enactment_date")).withColumn("vector_score", F.round("vector_score", 5))
 
 
 def best_acts_by_vector(s, d):
-    return search.vector_acts(_query(s, d), model.context(s, d), model.acts(s, d), 150).select("uri", "title", "enactment_date", F.round("vector_score", 5).alias("vector_score"))
+    return search.vector_acts(_query(s, d), model.context(s, d), model.acts(s, d, "title", "enactment_date"), 150).select("uri", "title", "enactment_date", F.round("vector_score", 5).alias("vector_score"))
 
 
 def act_summary(s, d):
-    return search.act_summary(_query(s, d), model.context(s, d), model.acts(s, d)).withColumn("vector_score", F.round("vector_score", 5))
+    return search.act_summary(_query(s, d), model.context(s, d), model.acts(s, d, "title")).withColumn("vector_score", F.round("vector_score", 5))
 
 
 def hit_context(s, d):
-    a = model.acts(s, d).select("uri", "title", "category", "status", "enactment_date")
+    a = model.acts(s, d, "title", "category", "status", "enactment_date")
     return search.hit_context(_query(s, d), model.context(s, d), a).withColumn("score", F.round("score", 5))
 
 
 def citation_reasoning(s, d):
-    hit = search.vector_acts(_query(s, d), model.context(s, d), model.acts(s, d), 150)
+    hit = search.vector_acts(_query(s, d), model.context(s, d), model.acts(s, d, "title", "enactment_date"), 150)
     return search.citing(hit, model.links(s, d), model.acts(s, d))
 
 
 def title_candidates(s, d):
-    return search.title_candidates(model.acts(s, d), TITLE).select("uri", "title", "enactment_date")
+    return search.title_candidates(model.acts(s, d, "title", "enactment_date"), TITLE).select("uri", "title", "enactment_date")
 
 
 def title_scores(s, d):
-    return search.rank_titles(search.title_candidates(model.acts(s, d), TITLE), TITLE, 25, with_ratio=False).select("uri", "title", "lexical_score")
+    return search.rank_titles(search.title_candidates(model.acts(s, d, "title", "enactment_date"), TITLE), TITLE, 25).select("uri", "title", "lexical_score")
 
 
 def resolved_titles(s, d):
-    return search.resolve_title(model.acts(s, d), TITLE).select("uri", "title", "lexical_score", "match_method")
+    return search.resolve_title(model.acts(s, d, "title", "enactment_date"), TITLE).select("uri", "title", "lexical_score", "match_method")
 
 
 def hybrid_acts(s, d):
-    return search.find_acts(model.acts(s, d), _query(s, d), model.context(s, d), TITLE).withColumn("vector_score", F.round("vector_score", 5))
+    return search.find_acts(model.acts(s, d, "title", "enactment_date"), _query(s, d), model.context(s, d), TITLE).withColumn("vector_score", F.round("vector_score", 5))
 
 
 def acts_by_uri(s, d):
-    return search.acts_by_uri(model.acts(s, d), "/xpga/").select("uri", "title", "enactment_date")
+    return search.acts_by_uri(model.acts(s, d, "title", "enactment_date"), "/xpga/").select("uri", "title", "enactment_date")
 
 
 def resolved_paths(s, d):

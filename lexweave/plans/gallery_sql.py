@@ -51,7 +51,7 @@ _WORDS = lambda c: f"list_filter(string_split({_norm(c)}, ' '), lambda t: length
 _FETCH = lambda c: f"CASE WHEN {c} IS NULL OR {c} = '' THEN NULL WHEN rtrim(replace({c}, '/id/', '/'), '/') LIKE '%data.xml' THEN rtrim(replace({c}, '/id/', '/'), '/') ELSE rtrim(replace({c}, '/id/', '/'), '/') || '/data.xml' END"
 _TITLE = "pensions consolidation act 1962"
 _CAND = f"""cand AS (SELECT uri, title, enactment_date FROM act WHERE contains(lower(coalesce(title, '')), '{_TITLE}') OR contains(lower(coalesce(uri, '')), '{_TITLE}')
- OR {" OR ".join(f"contains(lower(coalesce(title, '')), '{t}') OR contains(lower(coalesce(uri, '')), '{t}')" for t in _TITLE.split())} ORDER BY uri LIMIT 250)"""
+ OR {" OR ".join(f"contains(lower(coalesce(title, '')), '{t}') OR contains(lower(coalesce(uri, '')), '{t}')" for t in _TITLE.split())})"""
 _SHARED = "(" + " + ".join(f"CAST(list_contains({_WORDS('title')}, '{t}') AS INTEGER)" for t in _TITLE.split()) + ") / 4.0"
 _STEP = lambda a, b: f"""SELECT c.uri, c.title, e.{b} AS next_uri, n.title AS next_title FROM act c LEFT JOIN sup e ON e.{a} = c.uri LEFT JOIN act n ON n.uri = e.{b}
  WHERE contains(lower(coalesce(c.title, '')), 'pensions') OR contains(lower(coalesce(c.uri, '')), 'pensions') ORDER BY c.uri, next_uri NULLS LAST LIMIT 20"""
@@ -77,13 +77,13 @@ ot AS (SELECT src, string_agg(title, '; ' ORDER BY title) AS t FROM (SELECT src,
 it AS (SELECT dst, string_agg(title, '; ' ORDER BY title) AS t FROM (SELECT dst, title, row_number() OVER (PARTITION BY dst ORDER BY title) AS r FROM (SELECT DISTINCT dst, title FROM lnk JOIN act ON uri = src WHERE title IS NOT NULL) x) y WHERE r <= 5 GROUP BY dst)
 SELECT a.uri, a.title, coalesce(o.n, 0) AS outgoing_count, coalesce(i.n, 0) AS incoming_count, coalesce(ot.t, '') AS top_outgoing_titles, coalesce(it.t, '') AS top_incoming_titles
 FROM act a LEFT JOIN o ON o.src = a.uri LEFT JOIN i ON i.dst = a.uri LEFT JOIN ot ON ot.src = a.uri LEFT JOIN it ON it.dst = a.uri""",
-    "hierarchy_paths": _with(ACT, SEC, PAR, HIER) + "SELECT legis_uri, part_id, chapter_id, section_id, paragraph_id FROM h WHERE contains(legis_uri, '/xpga/19')",
+    "hierarchy_paths": _with(ACT, SEC, PAR, HIER) + "SELECT legis_uri, part_id, chapter_id, section_id, paragraph_id FROM h",
     "one_part": _with(ACT, SEC, PAR, HIER) + "SELECT legis_uri, part_id, section_id, sec_number, paragraph_id, par_number FROM h WHERE part_number = 'Part 1'",
     "citing_upward": _with(ACT, CIT)
-    + "SELECT c.id AS citation_id, c.legis_uri AS citing_uri, c.uri AS cited_uri, a.title AS citing_title FROM cit c JOIN act a ON a.uri = c.legis_uri WHERE contains(c.uri, '/xpga/1960/') AND c.uri IN (SELECT uri FROM act)",
+    + "SELECT c.id AS citation_id, c.legis_uri AS citing_uri, c.uri AS cited_uri, a.title AS citing_title FROM cit c JOIN act a ON a.uri = c.legis_uri WHERE c.uri IN (SELECT uri FROM act)",
     "notes_with_citations": _with(ACT, CIT)
     + f"""SELECT a.uri, n.note_id, c.id AS citation_id FROM act a LEFT JOIN (SELECT DISTINCT {_canon("legis_uri")} AS uri, id AS note_id FROM notes_paragraph) n ON n.uri = a.uri
-LEFT JOIN (SELECT id, legis_uri FROM cit WHERE origin = 'notes') c ON c.legis_uri = a.uri WHERE contains(a.uri, '/xpga/19')""",
+LEFT JOIN (SELECT id, legis_uri FROM cit WHERE origin = 'notes') c ON c.legis_uri = a.uri""",
     "supersede_network": _with(ACT, SUP) + "SELECT src, dst, type FROM sup UNION ALL SELECT dst, src, type FROM sup",
     "supersedes_chain": _with(ACT, SUP) + _STEP("src", "dst"),
     "superseded_chain": _with(ACT, SUP) + _STEP("dst", "src"),
@@ -114,7 +114,7 @@ SELECT src, dst, weight FROM lnk WHERE src IN (SELECT uri FROM t WHERE uri IS NO
     "act_full_text": _with(ACT, SEC, PAR, HIER) + "SELECT legis_uri, string_agg(text, chr(10) || chr(10) ORDER BY paragraph_id, text) AS content FROM h WHERE contains(legis_uri, '/xpga/1950/') AND text IS NOT NULL GROUP BY legis_uri",
     "descendants": _with(ACT, SEC, PAR)
     + """, e AS (SELECT DISTINCT legis_uri AS src, chapter_id AS dst FROM sec UNION ALL SELECT chapter_id, id FROM sec UNION ALL SELECT section_id, id FROM par),
-l1 AS (SELECT uri AS root, dst AS id FROM act JOIN e ON src = uri WHERE contains(uri, '/xpga/19') AND dst IS NOT NULL), l2 AS (SELECT root, dst AS id FROM l1 JOIN e ON src = id WHERE dst IS NOT NULL), l3 AS (SELECT root, dst AS id FROM l2 JOIN e ON src = id WHERE dst IS NOT NULL)
+l1 AS (SELECT uri AS root, dst AS id FROM act JOIN e ON src = uri WHERE dst IS NOT NULL), l2 AS (SELECT root, dst AS id FROM l1 JOIN e ON src = id WHERE dst IS NOT NULL), l3 AS (SELECT root, dst AS id FROM l2 JOIN e ON src = id WHERE dst IS NOT NULL)
 SELECT root, id, 1 AS depth FROM l1 UNION ALL SELECT root, id, 2 FROM l2 UNION ALL SELECT root, id, 3 FROM l3""",
     "upserted_acts": _with(ACT) + "SELECT uri, row_id, title, status, modified_date FROM act",
     "duplicate_acts": f"SELECT {_canon('uri')} AS uri, count(*) AS n_rows FROM legislation WHERE uri IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
