@@ -10,9 +10,9 @@ from ..functions.urls import act_of_section_uri, canonical_uri, fetch_url, file_
 from ..operators import catalog, graph, search, shred, temporal
 from ..operators.crawl import crawl, next_wave
 from ..session import cut_lineage
-from ..sources.act_xml import page_schema
+from ..sources.act_xml import page_schema, parse_pages
 from ..sources.documents import documents_from_text
-from ..sources.schema import CITING, TO_CITATION
+from ..sources.schema import CITING, LABELS, TO_CITATION
 from ..sources.tables import table
 from . import model
 
@@ -234,6 +234,25 @@ def schema_graph(s, d):
     return graph.schema_triples(g.all_nodes(), g.edges)
 
 
+def schedules_with_citations(s, d):
+    """Schedules of acts with their paragraphs and, where there are any, the commentaries on these, the citations in them and the
+    sub-references of those; every combination is a row, as optional matches give it."""
+    e = cut_lineage(_graph(s, d).edges)
+    step = lambda kind, a, b: e.where(F.col("type") == kind).select(F.col("src").alias(a), F.col("dst").alias(b))
+    own = step("HAS_SCHEDULE", "act", "schedule").join(step("HAS_PARAGRAPH", "schedule", "paragraph"), "schedule")
+    for kind, a, b in (("HAS_COMMENTARY", "paragraph", "commentary"), ("HAS_CITATION", "commentary", "citation"), ("HAS_SUBREF", "citation", "subref")):
+        own = own.join(step(kind, a, b), a, "left")
+    return own.select("act", "schedule", "paragraph", "commentary", "citation", "subref")
+
+
+def unique_nodes(s, d):
+    """Nodes per label, and how many of them share their key: none, for all thirteen labels."""
+    keys = _graph(s, d).all_nodes().groupBy("label", "id").agg(F.count(F.lit(1)).alias("n"))
+    found = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("n") > 1).alias("n_shared"))
+    labels = s.createDataFrame([(label,) for label in LABELS], "label string")
+    return labels.join(found, "label", "left").na.fill(0)
+
+
 def linked_to_weights(s, d):
     """Links between acts by the number of paths through the shredded records."""
     g = _graph(s, d)
@@ -278,6 +297,38 @@ def frontier_wave(s, d):
     return next_wave(found, model.acts(s, d).where(F.year("enactment_date") > 1990).select(fetch_url("uri").alias("url")))
 
 
+def _parsed(s, d):
+    return cut_lineage(parse_pages(model.pages(s, d).withColumn("depth", F.lit(0))))
+
+
+def parsed_sections(s, d):
+    """Sections as the XML parser reads them from the pages, with the part and chapter they stand in."""
+    part = _parsed(s, d).select("url", F.explode("document.parts").alias("p")).select("url", "p.part_number", F.explode("p.chapters").alias("c"))
+    sec = part.select("url", "part_number", F.col("c.uri").alias("chapter_id"), F.explode("c.sections").alias("x"))
+    return sec.select("url", "part_number", "chapter_id", F.col("x.uri").alias("section_id"), F.col("x.restrict_start_date").alias("start_date"), F.size("x.paragraphs").alias("n_paragraphs"), F.size("x.commentaries").alias("n_commentaries"))
+
+
+def parsed_paragraphs(s, d):
+    """Paragraphs of sections and subparagraphs of schedules as the XML parser reads them."""
+    doc = _parsed(s, d)
+    par = doc.select("url", F.explode(F.flatten(F.flatten(F.transform("document.parts", lambda p: F.transform(p["chapters"], lambda c: c["sections"]))))).alias("x"))
+    par = par.select("url", F.lit("section").alias("held_by"), F.col("x.uri").alias("holder"), F.explode("x.paragraphs").alias("p"))
+    sub = doc.select("url", F.explode(F.flatten(F.transform("document.schedules", lambda x: x["paragraphs"]))).alias("x"))
+    sub = sub.select("url", F.lit("schedule").alias("held_by"), F.col("x.uri").alias("holder"), F.explode("x.subparagraphs").alias("p"))
+    short = lambda df: df.select("url", "held_by", "holder", F.col("p.uri").alias("paragraph_id"), F.regexp_replace(F.coalesce("p.text", F.lit("")), r"\s+", "").alias("letters"))
+    return short(par).unionByName(short(sub)).withColumn("letters", F.md5("letters"))
+
+
+def parsed_acts(s, d):
+    """The head of every parsed page, and how many parts, schedule paragraphs and notes it holds."""
+    doc = F.col("document")
+    count = lambda c: F.coalesce(F.greatest(F.size(c), F.lit(0)), F.lit(0))
+    return _parsed(s, d).select(
+        "url", doc["super"]["supersedes"].alias("supersedes"), doc["metadata"]["enactment_date"].alias("enactment_date"), doc["metadata"]["year"].alias("year"), count(doc["parts"]).alias("n_parts"),
+        count(F.flatten(F.transform(doc["schedules"], lambda x: x["paragraphs"]))).alias("n_schedule_paragraphs"), count(doc["explanatory_notes"]["paragraphs"]).alias("n_notes"), F.size("links").alias("n_links"),
+    )
+
+
 def page_elements(s, d):
     return page_schema(model.pages(s, d))
 
@@ -330,6 +381,12 @@ def title_scores(s, d):
     return search.rank_titles(search.title_candidates(model.acts(s, d, "title", "enactment_date"), TITLE), TITLE, 25).select("uri", "title", "lexical_score")
 
 
+def title_score_terms(s, d):
+    """The scores of ``title_scores`` without the similarity ratio, which SQL can't express."""
+    found = search.title_candidates(model.acts(s, d, "title", "enactment_date"), TITLE)
+    return search.rank_titles(found, TITLE, 25, with_ratio=False).select("uri", "title", "lexical_score")
+
+
 def resolved_titles(s, d):
     return search.resolve_title(model.acts(s, d, "title", "enactment_date"), TITLE).select("uri", "title", "lexical_score", "match_method")
 
@@ -403,7 +460,7 @@ _QUERIES = (
     linked_to_star, citation_weights, citation_table, linked_network, citation_degrees, hierarchy_paths, one_part, citing_upward, notes_with_citations, supersede_network, supersedes_chain,
     superseded_chain, as_of_snapshot, visible_after, altered_ids, point_in_time, temporal_diff, temporal_diff_all, change_counts, amendment_timeline, yearly_enactments, dashboard_metrics,
     acts_per_category, corpus_table, topic_network, act_full_text, descendants, shortest_path, shortest_paths_through_old_acts, shredded_nodes, shredded_edges, schema_graph, linked_to_weights,
-    upserted_acts, duplicate_acts, upserted_edges, union_missing_columns, subref_parents, crawled_acts, frontier_wave, page_elements, vector_hits, best_per_label, acts_by_vector,
+    upserted_acts, duplicate_acts, upserted_edges, union_missing_columns, subref_parents, crawled_acts, frontier_wave, page_elements, parsed_sections, parsed_paragraphs, parsed_acts, schedules_with_citations, unique_nodes, title_score_terms, vector_hits, best_per_label, acts_by_vector,
     best_acts_by_vector, act_summary, hit_context, citation_reasoning, title_candidates, title_scores, resolved_titles, hybrid_acts, acts_by_uri, resolved_paths, grounded_evidence, url_forms,
     text_forms, payloads, write_guard, json_in_text, trimmed_history, tool_durations, read_only_sql,
 )

@@ -18,9 +18,10 @@ def _last(name: str, table: str, key: str, columns: str, order: str) -> str:
 
 
 ACT = _last("act", "legislation", _canon("uri"), f"{_canon('uri')} AS uri, row_id, title, description, category, status, enactment_date, modified_date, coming_into_force, {_canon('supersedes')} AS supersedes", "loaded_at")
-SEC = _last("sec", "section", "id", f"id, {_canon('legis_uri')} AS legis_uri, part_number, chapter_id, chapter_number, sec_number, title", "loaded_at")
-PAR = _last("par", "paragraph", "id", f"id, section_id, par_number, {_date('restrict_start_date')} AS start_date, {_date('restrict_end_date')} AS end_date, status, text", "loaded_at")
+SEC = _last("sec", "section", "id", f"id, {_canon('legis_uri')} AS legis_uri, part_number, chapter_id, chapter_number, sec_number, title, order_no, text, restrict_start_date", "loaded_at")
+PAR = _last("par", "paragraph", "id", f"id, section_id, par_number, {_date('restrict_start_date')} AS start_date, {_date('restrict_end_date')} AS end_date, status, text, order_no", "loaded_at")
 CIT = _last("cit", "citation", "id", f"id, {_canon('legis_uri')} AS legis_uri, {_canon('uri')} AS uri, origin", "recorded_at")
+NOTE = f"note AS (SELECT * FROM (SELECT id, {_canon('legis_uri')} AS legis_uri, text, row_number() OVER (PARTITION BY id ORDER BY row_id DESC) AS r FROM notes_paragraph WHERE id IS NOT NULL) z WHERE r = 1)"
 LNK = "lnk AS (SELECT legis_uri AS src, uri AS dst, count(*) AS weight FROM cit WHERE legis_uri <> uri AND legis_uri IN (SELECT uri FROM act) AND uri IN (SELECT uri FROM act) GROUP BY legis_uri, uri)"
 SUP = "sup AS (SELECT uri AS src, supersedes AS dst, 'SUPERSEDES' AS type FROM act WHERE supersedes IS NOT NULL)"
 HIER = """h AS (SELECT s.legis_uri, a.title AS act_title, s.legis_uri || '#part_' || coalesce(s.part_number, 'none') AS part_id, s.part_number, s.chapter_id, s.chapter_number, s.id AS section_id,
@@ -62,6 +63,15 @@ def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+# distances level by level, then only the steps that get farther from the start
+_PATHS = _with(ACT, CIT, LNK, SUP).replace("WITH ", "WITH RECURSIVE ", 1) + """, ends AS (SELECT min(src) AS a, max(src) AS b FROM sup),
+both_ways AS (SELECT src, dst FROM lnk UNION SELECT dst, src FROM lnk UNION SELECT src, dst FROM sup UNION SELECT dst, src FROM sup),
+e AS (SELECT src, dst FROM both_ways WHERE ({inner}) OR dst = (SELECT b FROM ends)),
+reach AS (SELECT a AS id, 0 AS d FROM ends UNION SELECT e.dst, d + 1 FROM reach JOIN e ON e.src = reach.id WHERE d < {last}),
+dist AS (SELECT id, min(d) AS d FROM reach GROUP BY id),
+walk AS (SELECT [a] AS path, a AS id, 0 AS d FROM ends
+  UNION ALL SELECT list_append(path, e.dst), e.dst, walk.d + 1 FROM walk JOIN e ON e.src = walk.id JOIN dist ON dist.id = e.dst AND dist.d = walk.d + 1 WHERE walk.d < (SELECT d FROM dist WHERE id = (SELECT b FROM ends)))"""
+
 _VEC = _with(ACT, SEC, PAR, HIER, CTX, HITS)
 _TOP = "SELECT c.legis_uri AS uri, max(score) AS vector_score FROM hits JOIN ctx c ON c.node_id = hits.node_id GROUP BY c.legis_uri"
 
@@ -111,7 +121,29 @@ WHERE d IS NOT NULL GROUP BY 1, 2""",
     "topic_network": _with(ACT, SEC, CIT, LNK)
     + """, t AS (SELECT uri FROM act WHERE contains(lower(coalesce(title, '')), 'pension') UNION SELECT legis_uri FROM sec WHERE contains(lower(coalesce(title, '')), 'pension'))
 SELECT src, dst, weight FROM lnk WHERE src IN (SELECT uri FROM t WHERE uri IS NOT NULL) AND dst IN (SELECT uri FROM t WHERE uri IS NOT NULL)""",
-    "act_full_text": _with(ACT, SEC, PAR, HIER) + "SELECT legis_uri, string_agg(text, chr(10) || chr(10) ORDER BY paragraph_id, text) AS content FROM h WHERE contains(legis_uri, '/xpga/1950/') AND text IS NOT NULL GROUP BY legis_uri",
+    "act_full_text": _with(ACT, SEC, PAR, NOTE)
+    + """, n AS (SELECT uri AS legis_uri, 0 AS place, NULL AS section_no, NULL AS section_id, NULL AS number, NULL AS node_id, coalesce(title, description) AS content FROM act
+UNION ALL SELECT legis_uri, 1, order_no, id, NULL, NULL, coalesce(text, title) FROM sec UNION ALL SELECT s.legis_uri, 1, s.order_no, s.id, p.order_no, p.id, p.text FROM par p JOIN sec s ON s.id = p.section_id
+UNION ALL SELECT legis_uri, 2, NULL, NULL, NULL, id, text FROM note)
+SELECT legis_uri, string_agg(content, chr(10) || chr(10) ORDER BY place, section_no NULLS FIRST, section_id NULLS FIRST, number NULLS FIRST, node_id NULLS FIRST, content) AS content
+FROM n WHERE content IS NOT NULL AND legis_uri IN (SELECT uri FROM act) GROUP BY legis_uri""",
+    "shortest_path": _PATHS.format(last="10", inner="true") + " SELECT array_to_string(path, ' > ') AS path, d AS hops FROM walk WHERE id = (SELECT b FROM ends) ORDER BY walk.path LIMIT 1",
+    "shortest_paths_through_old_acts": _PATHS.format(last="5", inner="dst IN (SELECT uri FROM act WHERE year(enactment_date) <= 1990)") + " SELECT array_to_string(path, ' > ') AS path, d AS hops FROM walk WHERE id = (SELECT b FROM ends)",
+    "crawled_acts": _with(ACT, CIT)
+    + f""", first AS (SELECT uri, {_FETCH("uri")} AS url, title, supersedes FROM act),
+links AS (SELECT DISTINCT f.url AS page, c.uri AS link, 1 AS depth FROM first f JOIN cit c ON c.legis_uri = f.uri WHERE c.uri <> '' UNION SELECT url, supersedes, 0 FROM first WHERE supersedes <> '')
+SELECT url, 0 AS depth, 0 AS wave, nullif(trim(coalesce(title, '~')), '~') AS title, CAST((SELECT count(*) FROM links WHERE page = first.url) AS INTEGER) AS n_links, false AS failed FROM first
+UNION ALL SELECT {_FETCH("link")}, min(depth), 1, NULL, 0, true FROM links WHERE {_FETCH("link")} NOT IN (SELECT url FROM first) GROUP BY 1""",
+    "parsed_sections": _with(ACT, SEC, PAR)
+    + f"""SELECT {_FETCH("legis_uri")} AS url, trim(part_number) AS part_number, chapter_id, id AS section_id, restrict_start_date AS start_date, CAST((SELECT count(*) FROM par p WHERE p.section_id = sec.id) AS INTEGER) AS n_paragraphs, 0 AS n_commentaries
+FROM sec WHERE part_number IS NOT NULL AND legis_uri IN (SELECT uri FROM act)""",
+    "parsed_paragraphs": _with(ACT, SEC, PAR)
+    + f"""SELECT {_FETCH("s.legis_uri")} AS url, CASE WHEN s.part_number IS NULL THEN 'schedule' ELSE 'section' END AS held_by, s.id AS holder, p.id AS paragraph_id, md5(regexp_replace(coalesce(p.text, ''), '\\s+', '', 'g')) AS letters
+FROM par p JOIN sec s ON s.id = p.section_id WHERE s.legis_uri IN (SELECT uri FROM act)""",
+    "parsed_acts": _with(ACT, SEC, CIT, NOTE)
+    + f"""SELECT {_FETCH("uri")} AS url, supersedes, CAST(enactment_date AS VARCHAR) AS enactment_date, CAST(year(enactment_date) AS VARCHAR) AS year,
+CAST((SELECT count(DISTINCT part_number) FROM sec WHERE legis_uri = act.uri) AS INTEGER) AS n_parts, CAST((SELECT count(*) FROM sec WHERE legis_uri = act.uri AND part_number IS NULL) AS INTEGER) AS n_schedule_paragraphs,
+CAST((SELECT count(*) FROM note WHERE legis_uri = act.uri) AS INTEGER) AS n_notes, CAST((SELECT count(DISTINCT c.uri) FROM cit c WHERE c.legis_uri = act.uri AND c.uri <> '') + CAST(coalesce(supersedes, '') <> '' AS INTEGER) AS INTEGER) AS n_links FROM act""",
     "descendants": _with(ACT, SEC, PAR)
     + """, e AS (SELECT DISTINCT legis_uri AS src, chapter_id AS dst FROM sec UNION ALL SELECT chapter_id, id FROM sec UNION ALL SELECT section_id, id FROM par),
 l1 AS (SELECT uri AS root, dst AS id FROM act JOIN e ON src = uri WHERE dst IS NOT NULL), l2 AS (SELECT root, dst AS id FROM l1 JOIN e ON src = id WHERE dst IS NOT NULL), l3 AS (SELECT root, dst AS id FROM l2 JOIN e ON src = id WHERE dst IS NOT NULL)
@@ -142,7 +174,7 @@ FROM hits JOIN ctx c ON c.node_id = hits.node_id JOIN act a ON a.uri = c.legis_u
     "citation_reasoning": _with(ACT, SEC, PAR, HIER, CTX, HITS, CIT, LNK)
     + f"SELECT a.uri, a.title, l.dst AS cited_uri, n.title AS cited_title FROM act a JOIN ({_TOP}) b ON b.uri = a.uri LEFT JOIN lnk l ON l.src = a.uri LEFT JOIN act n ON n.uri = l.dst ORDER BY a.uri, cited_uri NULLS LAST LIMIT 20",
     "title_candidates": _with(ACT, _CAND) + "SELECT uri, title, enactment_date FROM cand",
-    "title_scores": _with(ACT, _CAND)
+    "title_score_terms": _with(ACT, _CAND)
     + f"""SELECT uri, title, round(s, 6) AS lexical_score FROM (SELECT uri, title, enactment_date,
 CASE WHEN {_norm("title")} = '{_TITLE}' THEN 1.0 ELSE 0.0 END + CASE WHEN contains({_norm("title")}, '{_TITLE}') THEN 0.6 ELSE 0.0 END + CASE WHEN {_norm("title")} <> '' AND contains('{_TITLE}', {_norm("title")}) THEN 0.35 ELSE 0.0 END
  + CASE WHEN contains({_norm("uri")}, '{_TITLE}') THEN 0.25 ELSE 0.0 END + 0.55 * {_SHARED} + CASE WHEN contains({_norm("title")}, '1962') THEN 0.25 ELSE 0.0 END + CASE WHEN list_contains({_WORDS("title")}, 'act') THEN 0.1 ELSE 0.0 END AS s FROM cand) x

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators.shred import DIGESTED
-from ..sources.schema import CITING, TO_CITATION
+from ..sources.schema import CITING, LABELS, TO_CITATION
 from .problems import _AS_LIST
 
 
@@ -96,4 +96,9 @@ SQL = {
     + f""", walk AS (SELECT id AS root, id AS node, 0 AS depth FROM nodes WHERE label = 'Legislation'
  UNION ALL SELECT root, dst, depth + 1 FROM walk JOIN edges ON src = node WHERE type IN ({_LIST(TO_CITATION)}) AND depth < 10)
 SELECT root AS src, dst, count(*) AS weight FROM walk JOIN edges ON src = node WHERE depth > 0 AND type IN ({_LIST(CITING)}) AND root <> dst GROUP BY root, dst""",
+    "schedules_with_citations": _GRAPH
+    + """ SELECT a.src AS act, a.dst AS schedule, p.dst AS paragraph, c.dst AS commentary, t.dst AS citation, r.dst AS subref
+FROM (SELECT * FROM edges WHERE type = 'HAS_SCHEDULE') a JOIN (SELECT * FROM edges WHERE type = 'HAS_PARAGRAPH') p ON p.src = a.dst LEFT JOIN (SELECT * FROM edges WHERE type = 'HAS_COMMENTARY') c ON c.src = p.dst
+LEFT JOIN (SELECT * FROM edges WHERE type = 'HAS_CITATION') t ON t.src = c.dst LEFT JOIN (SELECT * FROM edges WHERE type = 'HAS_SUBREF') r ON r.src = t.dst""",
+    "unique_nodes": _GRAPH + " SELECT l.label, count(id) AS n_nodes, CAST(0 AS BIGINT) AS n_shared FROM (VALUES " + ", ".join(f"('{x}')" for x in LABELS) + ") l(label) LEFT JOIN nodes n ON n.label = l.label GROUP BY l.label",
 }
