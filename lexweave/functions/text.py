@@ -33,7 +33,8 @@ def normalise(c: Column | str) -> Column:
 
 def year_in(c: Column | str) -> Column:
     """The first year from 1600 to 2100 that stands as a word of its own; null if there is none."""
-    return F.nullif(F.regexp_extract(F.coalesce(_c(c), F.lit("")), r"\b(1[6-9]\d{2}|20\d{2}|2100)\b", 1), F.lit("")).cast("int")
+    words = F.transform(F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(r"\b\d{4}\b"), F.lit(0)), lambda w: w.cast("int"))
+    return F.try_element_at(F.filter(words, lambda n: n.between(1600, 2100)), F.lit(1))
 
 
 def tokens(c: Column | str, longer_than: int = 2) -> Column:
@@ -124,8 +125,27 @@ def contains_folded(text: Column, part: Column | str) -> Column:
     return F.lower(F.coalesce(text, F.lit(""))).contains(F.lower(part if isinstance(part, Column) else F.lit(part)))
 
 
+def merged_maps(first: Column | str, then: Column | str) -> Column:
+    """Two maps as one; where both have a key, the second one's value holds. A null map counts as empty."""
+    a, b = (F.coalesce(_c(m), F.create_map().cast("map<string,string>")) for m in (first, then))
+    return F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+
+
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two numeric arrays; null where one is null, of another length, or all zero."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+    """Cosine of two arrays of double; null where one is null, of another length, or all zero."""
     norms = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when((F.size(a) == F.size(b)) & (norms > 0), dot(a, b) / norms)
+
+
+def cosine_to(a: Column, query: list[float]) -> Column:
+    """Cosine of an array of double to a fixed vector, whose length is taken once, here."""
+    length = sum(x * x for x in query) ** 0.5
+    if not length:
+        return F.lit(None).cast("double")
+    q = F.array(*(F.lit(x / length) for x in query))
+    norm = F.sqrt(dot(a, a))
+    return F.when((F.size(a) == len(query)) & (norm > 0), dot(a, q) / norm)

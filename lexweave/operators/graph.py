@@ -31,6 +31,13 @@ def upsert_edges(edges: DataFrame) -> DataFrame:
     return kept.groupBy("src", "type", "dst").agg(F.max("weight").alias("weight")) if "weight" in edges.columns else kept.select("src", "type", "dst").distinct()
 
 
+def upsert_report(before: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """What an upsert of ``rows`` into ``before`` does: one row, ``n_created, n_updated`` keys."""
+    new = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    known = before.select(F.col(key), F.lit(True).alias("_known")).where(F.col(key).isNotNull()).distinct()
+    return new.join(known, key, "left").agg(F.count_if(F.col("_known").isNull()).alias("n_created"), F.count_if(F.col("_known")).alias("n_updated"))
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys held by more than one row, with their number; empty where the key is unique."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)

@@ -6,11 +6,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .graph import degree_counts
 
 
 def bounded(value: int, least: int, most: int) -> int:
@@ -24,8 +25,7 @@ def vector_hits(vectors: DataFrame, node: str, vec: str, query: list[float], k:
     """The ``k`` nodes most similar to a query vector: ``node_id, score`` (cosine). Nodes whose vector is null, has null entries or
     another length, or is all zero have no score and are no hits. One pass; only each task's best ``k`` rows move."""
     bounded(k, 1, 100)
-    q = F.array(*(F.lit(float(x)) for x in query))
-    scored = vectors.select(F.col(node).alias("node_id"), T.cosine(F.col(vec).cast("array<double>"), q).alias("score"))
+    scored = vectors.select(F.col(node).alias("node_id"), T.cosine_to(F.col(vec).cast("array<double>"), [float(x) for x in query]).alias("score"))
     return scored.where(F.col("score").isNotNull() & ~F.isnan("score")).orderBy(F.desc("score"), "node_id").limit(k)
 
 
@@ -133,15 +133,38 @@ def supersede_step(acts: DataFrame, edges: DataFrame, query: str, limit: int = 2
     return out.select("uri", "title", "next_uri", "next_title").orderBy("uri", F.asc_nulls_last("next_uri")).limit(limit)
 
 
-def acts_by_uri(acts: DataFrame, uri: str, limit: int = 5) -> DataFrame:
-    """Acts whose uri is, or contains, a text taken literally; newest first, acts without enactment date before others."""
+def missing_input(spark: SparkSession, what: str) -> DataFrame:
+    """The answer to a question that lacks its input: one row, ``error``."""
+    return spark.createDataFrame([(f"{what} is required",)], "error string")
+
+
+def acts_by_uri(acts: DataFrame, uri: str | None, limit: int = 5) -> DataFrame:
+    """Acts whose uri is, or contains, a text taken literally; newest first, acts without enactment date before others. Without a text, the
+    answer is an error row."""
+    if not (uri or "").strip():
+        return missing_input(acts.sparkSession, "uri")
     return acts.where((F.col("uri") == uri) | F.col("uri").contains(uri)).orderBy(F.desc_nulls_first("enactment_date"), "uri").limit(limit)
 
 
+def citation_counts(acts: DataFrame, links: DataFrame, q: str | None = None, uri: str | None = None, limit: int = 10) -> DataFrame:
+    """Degrees of the acts that a uri names (exactly, or as a part of theirs) or, without one, whose titles fit a query best; see
+    ``degree_counts``. Only the links of these acts are counted. Without uri and query, the answer is an error row."""
+    if (uri or "").strip():
+        chosen = acts.where((F.col("uri") == uri) | F.col("uri").contains(uri)).orderBy("uri").limit(limit)
+    elif (q or "").strip():
+        chosen = rank_titles(title_candidates(acts, q), q, limit)
+    else:
+        return missing_input(acts.sparkSession, "q or uri")
+    own = chosen.select("uri")  # at most ``limit`` rows
+    near = links.join(F.broadcast(own.withColumnRenamed("uri", "src")), "src", "left_semi").unionByName(links.join(F.broadcast(own.withColumnRenamed("uri", "dst")), "dst", "left_semi").select(*links.columns))
+    return degree_counts(acts, near).join(F.broadcast(own), "uri", "left_semi")
+
+
 def resolve_path(context: DataFrame, acts: DataFrame, node_id: str | None = None, uri: str | None = None, limit: int = 10) -> DataFrame:
-    """A node, by id or by (part of) its uri, with its ancestors. Nodes outside any act stay, with null ancestors."""
+    """A node, by id or by (part of) its uri, with its ancestors. Nodes outside any act stay, with null ancestors. Without id and uri, the
+    answer is an error row."""
     if not node_id and not uri:
-        raise ValueError("either a node id or a uri is needed")
+        return missing_input(acts.sparkSession, "node_id or uri")
     chosen = context.where(F.col("node_id") == node_id) if node_id else context.where((F.col("node_id") == uri) | F.col("node_id").contains(uri))
     named = acts.select(F.col("uri").alias("legis_uri"), F.col("title").alias("legislation_title"))
     return chosen.join(named, "legis_uri", "left").orderBy("node_id").limit(limit)

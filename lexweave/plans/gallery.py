@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.urls import act_of_section_uri, canonical_uri, fetch_url, file_name, plain_url
-from ..operators import catalog, graph, search, shred, temporal
+from ..operators import catalog, embed, graph, search, shred, temporal
 from ..operators.crawl import crawl, next_wave
 from ..session import cut_lineage
 from ..sources.act_xml import page_schema, parse_pages
@@ -347,8 +347,8 @@ def vector_hits(s, d):
 def best_per_label(s, d):
     """The best score of the hits of each label."""
     e = table(s, d, "embeddings")
-    q = F.array(*(F.lit(x) for x in model.query_vector(e, "vec_id", "embedding", 64)))
-    return e.groupBy("label").agg(F.round(F.max(T.cosine(F.col("embedding").cast("array<double>"), q)), 5).alias("best"), F.count(F.lit(1)).alias("n"))
+    q = model.query_vector(e, "vec_id", "embedding", 64)
+    return e.groupBy("label").agg(F.round(F.max(T.cosine_to(F.col("embedding").cast("array<double>"), q)), 5).alias("best"), F.count(F.lit(1)).alias("n"))
 
 
 def acts_by_vector(s, d):
@@ -399,6 +399,51 @@ def acts_by_uri(s, d):
     return search.acts_by_uri(model.acts(s, d, "title", "enactment_date"), "/xpga/").select("uri", "title", "enactment_date")
 
 
+def uri_missing(s, d):
+    """What is answered to a question by uri that names none."""
+    return search.acts_by_uri(model.acts(s, d, "title", "enactment_date"), " ")
+
+
+def citation_counts(s, d):
+    """Degrees of the acts whose uri contains a text."""
+    out = search.citation_counts(model.acts(s, d, "title", "enactment_date"), model.links(s, d), uri="/xpga/19", limit=20)
+    return out.withColumns({c: F.array_join(c, "; ") for c in ("top_outgoing_titles", "top_incoming_titles")})
+
+
+def _embedded(s, d):
+    """Paragraphs in their last version, of which those with an even number already have a vector."""
+    own = model.paragraphs(s, d, "row_id", "text")
+    ready = F.when(F.col("row_id") % 2 == 0, F.array([F.lit(0.2).cast("float")] * 25 + [F.lit(0.0).cast("float")]))
+    return embed.embed_missing(own.withColumn("embedding", ready), embed.letter_encoder)
+
+
+def embedded_nodes(s, d):
+    return _embedded(s, d).select("id", "is_text", F.round(F.try_element_at("embedding", F.lit(1)), 4).alias("a"), F.round(F.try_element_at("embedding", F.lit(5)), 4).alias("e"))
+
+
+def semantic_hits(s, d):
+    """The paragraphs nearest to a question, by the vectors of an encoder."""
+    return embed.text_hits(_embedded(s, d).where("row_id % 2 = 1"), embed.letter_encoder, "pension scheme of the registrar", 20).select("node_id", F.round("score", 5).alias("score"))
+
+
+def blank_question(s, d):
+    return embed.text_hits(_embedded(s, d), embed.letter_encoder, "  ", 20)
+
+
+def upsert_counts(s, d):
+    """Acts delivered from 2015 on, against those delivered before."""
+    raw = table(s, d, "legislation").select(canonical_uri("uri").alias("uri"), (F.col("loaded_at") < F.lit("2015-01-01").cast("timestamp")).alias("early"))
+    return graph.upsert_report(raw.where("early"), raw.where("NOT early"), "uri")
+
+
+def merged_tools(s, d):
+    """Tool maps of the odd events, overridden by their own entries."""
+    own = F.create_map(F.lit("k"), F.col("event_type"), F.lit("n"), F.col("user_id").cast("string"))
+    more = F.when(F.col("event_id") % 2 == 1, F.create_map(F.lit("k"), F.lit("later"), F.lit("m"), F.lit("new")))
+    merged = T.merged_maps(own, more)
+    return table(s, d, "events").select("event_id", *(F.try_element_at(merged, F.lit(k)).alias(k) for k in ("k", "n", "m")))
+
+
 def resolved_paths(s, d):
     return search.resolve_path(model.context(s, d), model.acts(s, d), uri="/section/1/")
 
@@ -460,7 +505,7 @@ _QUERIES = (
     linked_to_star, citation_weights, citation_table, linked_network, citation_degrees, hierarchy_paths, one_part, citing_upward, notes_with_citations, supersede_network, supersedes_chain,
     superseded_chain, as_of_snapshot, visible_after, altered_ids, point_in_time, temporal_diff, temporal_diff_all, change_counts, amendment_timeline, yearly_enactments, dashboard_metrics,
     acts_per_category, corpus_table, topic_network, act_full_text, descendants, shortest_path, shortest_paths_through_old_acts, shredded_nodes, shredded_edges, schema_graph, linked_to_weights,
-    upserted_acts, duplicate_acts, upserted_edges, union_missing_columns, subref_parents, crawled_acts, frontier_wave, page_elements, parsed_sections, parsed_paragraphs, parsed_acts, schedules_with_citations, unique_nodes, title_score_terms, vector_hits, best_per_label, acts_by_vector,
+    upserted_acts, duplicate_acts, upserted_edges, union_missing_columns, subref_parents, crawled_acts, frontier_wave, page_elements, parsed_sections, parsed_paragraphs, parsed_acts, schedules_with_citations, unique_nodes, title_score_terms, uri_missing, citation_counts, embedded_nodes, semantic_hits, blank_question, upsert_counts, merged_tools, vector_hits, best_per_label, acts_by_vector,
     best_acts_by_vector, act_summary, hit_context, citation_reasoning, title_candidates, title_scores, resolved_titles, hybrid_acts, acts_by_uri, resolved_paths, grounded_evidence, url_forms,
     text_forms, payloads, write_guard, json_in_text, trimmed_history, tool_durations, read_only_sql,
 )

@@ -47,7 +47,7 @@ def _norm(c: str) -> str:
     return f"trim(regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9]+', ' ', 'g'))"
 
 
-_YEAR = lambda c: rf"CAST(nullif(regexp_extract(coalesce({c}, ''), '\b(1[6-9]\d\d|20\d\d|2100)\b', 1), '') AS INTEGER)"
+_YEAR = lambda c: rf"list_filter(list_transform(regexp_extract_all(coalesce({c}, ''), '\b\d\d\d\d\b'), lambda w: CAST(w AS INTEGER)), lambda n: n BETWEEN 1600 AND 2100)[1]"
 _WORDS = lambda c: f"list_filter(string_split({_norm(c)}, ' '), lambda t: length(t) > 2)"
 _FETCH = lambda c: f"CASE WHEN {c} IS NULL OR {c} = '' THEN NULL WHEN rtrim(replace({c}, '/id/', '/'), '/') LIKE '%data.xml' THEN rtrim(replace({c}, '/id/', '/'), '/') ELSE rtrim(replace({c}, '/id/', '/'), '/') || '/data.xml' END"
 _TITLE = "pensions consolidation act 1962"
@@ -59,6 +59,12 @@ _STEP = lambda a, b: f"""SELECT c.uri, c.title, e.{b} AS next_uri, n.title AS ne
 _TEXTS = ("MATCH (n) RETURN n", "match (n) SET n.x = 1", "CREATED by [:A|:B]", "drop index x", "RETURN offset")
 
 
+_COUNTS = lambda c: f"list_transform(range(26), lambda i: CAST(length({c}) - length(replace(lower({c}), chr(CAST(97 + i AS INTEGER)), '')) AS DOUBLE))"
+_LETTERS = _last("para", "paragraph", "id", "id, row_id, text", "loaded_at") + f""",
+letters AS (SELECT *, sqrt(list_sum(list_transform(n, lambda x: x * x))) AS size FROM (SELECT id, row_id, text, {_COUNTS("coalesce(text, '')")} AS n FROM para) z)"""
+_FIRST = lambda a, b: f"coalesce((SELECT string_agg(title, '; ' ORDER BY title) FROM (SELECT DISTINCT a.title FROM lnk JOIN act a ON a.uri = lnk.{b} WHERE lnk.{a} = s.uri AND a.title IS NOT NULL ORDER BY a.title LIMIT 5) t), '')"
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -179,6 +185,20 @@ FROM hits JOIN ctx c ON c.node_id = hits.node_id JOIN act a ON a.uri = c.legis_u
 CASE WHEN {_norm("title")} = '{_TITLE}' THEN 1.0 ELSE 0.0 END + CASE WHEN contains({_norm("title")}, '{_TITLE}') THEN 0.6 ELSE 0.0 END + CASE WHEN {_norm("title")} <> '' AND contains('{_TITLE}', {_norm("title")}) THEN 0.35 ELSE 0.0 END
  + CASE WHEN contains({_norm("uri")}, '{_TITLE}') THEN 0.25 ELSE 0.0 END + 0.55 * {_SHARED} + CASE WHEN contains({_norm("title")}, '1962') THEN 0.25 ELSE 0.0 END + CASE WHEN list_contains({_WORDS("title")}, 'act') THEN 0.1 ELSE 0.0 END AS s FROM cand) x
 ORDER BY round(s, 6) DESC, coalesce(enactment_date, DATE '0001-01-01') DESC, uri LIMIT 25""",
+    "uri_missing": "SELECT 'uri is required' AS error",
+    "citation_counts": _with(ACT, CIT, LNK)
+    + f""", chosen AS (SELECT uri, title FROM act WHERE contains(uri, '/xpga/19') ORDER BY uri LIMIT 20)
+SELECT s.uri, s.title, (SELECT count(*) FROM lnk WHERE src = s.uri) AS outgoing_count, (SELECT count(*) FROM lnk WHERE dst = s.uri) AS incoming_count, {_FIRST("src", "dst")} AS top_outgoing_titles, {_FIRST("dst", "src")} AS top_incoming_titles FROM chosen s""",
+    "embedded_nodes": _with(_LETTERS)
+    + "SELECT id, row_id % 2 = 0 OR text IS NOT NULL AND trim(text) <> '' AS is_text, CASE WHEN row_id % 2 = 0 THEN CAST(0.2 AS FLOAT) WHEN trim(text) <> '' THEN round(CAST(CASE WHEN size > 0 THEN n[1] / size ELSE 0 END AS FLOAT), 4) END AS a, "
+    "CASE WHEN row_id % 2 = 0 THEN CAST(0.2 AS FLOAT) WHEN trim(text) <> '' THEN round(CAST(CASE WHEN size > 0 THEN n[5] / size ELSE 0 END AS FLOAT), 4) END AS e FROM letters",
+    "semantic_hits": _with(_LETTERS)
+    + f"""SELECT id AS node_id, round(list_cosine_similarity(list_transform(n, lambda x: CAST(x AS DOUBLE)), q), 5) AS score FROM letters, (SELECT {_COUNTS("'pension scheme of the registrar'")} AS q) y WHERE row_id % 2 = 1 AND size > 0
+ORDER BY list_cosine_similarity(list_transform(n, lambda x: CAST(x AS DOUBLE)), q) DESC, id LIMIT 20""",
+    "blank_question": "SELECT '' AS node_id, CAST(0 AS DOUBLE) AS score WHERE false",
+    "upsert_counts": f"""WITH r AS (SELECT DISTINCT {_canon("uri")} AS uri, loaded_at < TIMESTAMP '2015-01-01' AS early FROM legislation WHERE uri IS NOT NULL)
+SELECT count(CASE WHEN e.uri IS NULL THEN 1 END) AS n_created, count(e.uri) AS n_updated FROM (SELECT uri FROM r WHERE NOT early) n LEFT JOIN (SELECT uri FROM r WHERE early) e ON e.uri = n.uri""",
+    "merged_tools": "SELECT event_id, CASE WHEN event_id % 2 = 1 THEN 'later' ELSE event_type END AS k, CAST(user_id AS VARCHAR) AS n, CASE WHEN event_id % 2 = 1 THEN 'new' END AS m FROM events",
     "acts_by_uri": _with(ACT) + "SELECT uri, title, enactment_date FROM act WHERE contains(uri, '/xpga/') ORDER BY enactment_date DESC NULLS FIRST, uri LIMIT 5",
     "resolved_paths": _with(ACT, SEC, PAR, HIER, CTX) + "SELECT c.*, a.title AS legislation_title FROM ctx c LEFT JOIN act a ON a.uri = c.legis_uri WHERE contains(c.node_id, '/section/1/') ORDER BY c.node_id LIMIT 10",
     "grounded_evidence": "SELECT legis_uri AS uri, node_label AS node_id, source AS title, CAST(arg_min(n_chars, doc_id) AS DOUBLE) AS score, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2, 3",
