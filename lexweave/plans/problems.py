@@ -48,6 +48,13 @@ def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read("section").unionByName(read("paragraph"))
 
 
+def p4_bracketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of a field in which a bracket holds together what its separators would part: place and number of a section, then its status."""
+    packed = F.concat(F.lit("("), F.col("part_number"), F.lit(", "), F.col("sec_number"), F.lit("); "), F.col("status"))
+    rows = table(spark, sf_dir, "section").select("row_id", packed.alias("packed"))
+    return unpack_values(rows, "packed", ["row_id"], brackets=(("(", ")"),)).select("row_id", "pos", "value", "kind")
+
+
 NODE_TYPES = {"chapters": "chapter", "sections": "section", "paragraphs": "paragraph", "commentaries": "commentary"}
 
 
@@ -102,7 +109,7 @@ def p6_coverage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_orphans_by_month, p4_found, p4_values, p5_found, p5_sections, p6_found, p6_coverage_totals)}
+    return {f.__name__: f for f in (p1_found, p1_orphans_by_month, p4_found, p4_values, p4_bracketed, p5_found, p5_sections, p6_found, p6_coverage_totals)}
 
 
 def _canon(c: str) -> str:
@@ -194,6 +201,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p4_found": _PACKED,
         "p4_values": _VALUES,
+        "p4_bracketed": r"""SELECT row_id, 1 AS pos, '(' || part_number || ', ' || sec_number || ')' AS value, 'bracketed' AS kind FROM section WHERE part_number || sec_number || status IS NOT NULL
+UNION ALL SELECT row_id, 2, regexp_replace(status, '^\s+|\s+$', '', 'g'), 'bare' FROM section WHERE part_number || sec_number || status IS NOT NULL AND trim(status) <> ''""",
         "p5_found": _NESTED + _FOUND,
         "p5_sections": _NESTED + _SECTIONS,
         "p1_found": _ORPHANS + "SELECT ref_table, ref_id, reason, ref_month FROM orphan",
