@@ -45,9 +45,8 @@ def text_statistics(documents: DataFrame, text: str, keep: list[str], common: di
     count = lambda pattern: F.regexp_count(t, F.lit(pattern))
     share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     solid = F.length(F.regexp_replace(t, r"(?U)\s+", ""))
-    # marks at the ends of words give way at once; then every word is plain
-    bare = F.lower(F.regexp_replace(t, r"(?U)(?<![^\s])[^\p{L}\p{N}\s]++|[^\p{L}\p{N}\s]++(?![^\s])", ""))
-    words = F.split(bare, r"(?U)\s+")
+    # what parts two words takes the marks at their ends with it, so every word is plain at once
+    words = F.split(F.concat(F.lit(" "), F.lower(t), F.lit(" ")), r"(?U)[^\p{L}\p{N}\s]*+\s[^\p{L}\p{N}]*+")
 
     def found(listed: list[str]) -> Column:
         return F.size(F.filter(F.col("_words"), lambda w: w.isin(listed))).cast("double")
