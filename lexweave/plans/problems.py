@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..operators.intervals import merge_intervals
 from ..operators.nested import empty_level, flatten_nested, infer_schema, nested_levels, node_table
 from ..operators.packed import unpack_values
 from ..operators.references import orphan_references, orphan_report
+from ..sources.schema import document_schema, plain_fields
 from ..sources.tables import table
 
 
@@ -67,14 +70,16 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat section table, linked to its chapter table by parent_id."""
-    raw = table(spark, sf_dir, "raw_acts")
-    tables = flatten_nested(raw, "raw_id", "doc_json", act_levels(spark, sf_dir))
-    levels = [t for p, t in tables.items() if p.endswith(".sections")]
-    out = levels[0] if levels else empty_level(raw, "raw_id")
-    for more in levels[1:]:
-        out = out.unionByName(more, allowMissingColumns=True)
-    return out
+    """The flat section table, linked to its chapter table by parent_id. Its columns are the plain fields that the record schema declares
+    for a section, whether or not a record holds them; only where no record has any level are there none."""
+    raw, levels = table(spark, sf_dir, "raw_acts"), act_levels(spark, sf_dir)
+    if not levels:
+        return empty_level(raw, "raw_id")
+    declared = "parts.chapters.sections"
+    fields = sorted(plain_fields(document_schema(), declared))
+    own = [p for p in levels if p.endswith(".sections")] or [declared]
+    tables = flatten_nested(raw, "raw_id", "doc_json", levels | dict.fromkeys(own, fields))
+    return reduce(DataFrame.unionByName, (tables[p] for p in own))
 
 
 def validity(df: DataFrame, record_type: str, status: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import ArrayType, StructType, _parse_datatype_string
 
 _VALID = "restrict_start_date:string, restrict_end_date:string"
 _CITATION = "struct<id:string, uri:string, title:string, class:string, year:string, number:string, text:string>"
@@ -37,3 +37,10 @@ CITING = ("CITES", "REFERENCES")
 def document_schema() -> StructType:
     """The record as declared: absent fields are null, so no operator has to ask whether a field exists."""
     return _parse_datatype_string(_ROOT)
+
+
+def plain_fields(schema: StructType, level: str) -> list[str]:
+    """The fields that the objects of a level (``parts.chapters``) are declared with and that aren't lists."""
+    for name in level.split("."):
+        schema = schema[name].dataType.elementType
+    return [f.name for f in schema if not isinstance(f.dataType, ArrayType)]

@@ -137,6 +137,26 @@ def test_nested_records_without_levels(spark, tmp_path, texts):
     assert sections.columns == ["raw_id", "node_id", "parent_id", "ordinal", "node_path", "parent_path"] and sections.count() == 0
 
 
+SECTION_COLUMNS = ["raw_id", "node_id", "parent_id", "ordinal", "node_path", "parent_path"] + [
+    f"f_{f}" for f in ("order", "restrict_end_date", "restrict_extent", "restrict_start_date", "section_number", "status", "text", "title", "uri")
+]
+
+
+def test_section_columns_are_the_declared_ones_whatever_the_records_hold(spark, tmp_path):
+    def sections(name, *records):
+        spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "raw_id long, doc_json string").write.parquet(str(tmp_path / name / "raw_acts.parquet"))
+        got = problems.p5_sections(spark, str(tmp_path / name))
+        assert got.columns == SECTION_COLUMNS
+        return {r["node_path"]: {c[2:]: r[c] for c in SECTION_COLUMNS[6:] if r[c] is not None} for r in got.collect()}
+
+    held = [{"order": 1, "title": "a", "commentaries": None, "extra": 1}, {"restrict_extent": "E+W", "text": None, "paragraphs": "none"}, {}]
+    own = [{"order": "1", "title": "a"}, {"restrict_extent": "E+W"}, {}]
+    path = "parts/0/chapters/0/sections"
+    assert sections("few", {"parts": [{"chapters": [{"sections": held}]}]}) == {f"{path}/{i}": x for i, x in enumerate(own)}
+    assert sections("two levels", {"parts": [{"sections": held[1]}]}, {"parts": [{"chapters": [{"sections": held[:1]}]}]}) == {"parts/0/sections/0": own[1], f"{path}/0": own[0]}
+    assert sections("chapters only", {"parts": [{"chapters": [{"title": "c"}]}]}) == {}
+
+
 def stretches(intervals):
     out = []
     for s, e in sorted(set(intervals)):
